@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater import schemas
-
 START_TOPIC = "APP_START"
 EVENT_TOPIC = "APP_EVENT"
 ODS_PREFIX = "ODS_"
@@ -28,21 +26,25 @@ def _ods_topic(table):
     return F.concat(F.lit(ODS_PREFIX), F.upper(table))
 
 
+def _fields(records: DataFrame) -> DataFrame:
+    """``table, type, data`` of change records as text, parsed once per record."""
+    return records.select(F.json_tuple("value", "table", "type", "data").alias("table", "type", "data"))
+
+
 def route_cdc_object(records: DataFrame) -> DataFrame:
     """``topic, value`` of change records that carry one row each.
 
     Facts pass as inserts only; dimension rows pass whatever the operation was.
     """
-    r = records.select(F.from_json("value", schemas.CDC_OBJECT).alias("r")).select("r.*")
     wanted = (F.col("table").isin(FACT_TABLES) & (F.col("type") == "insert")) | F.col("table").isin(DIM_TABLES)
-    return r.where(wanted & (F.length("data") > MIN_ROW_JSON)).select(
+    return _fields(records).where(wanted & (F.length("data") > MIN_ROW_JSON)).select(
         _ods_topic(F.col("table")).alias("topic"), F.col("data").alias("value")
     )
 
 
 def route_cdc_array(records: DataFrame) -> DataFrame:
     """``topic, value`` of change records that carry a list of rows; one output row per element."""
-    r = records.select(F.from_json("value", schemas.CDC_ARRAY).alias("r")).select("r.*")
-    return r.where(F.col("table").isin(FACT_TABLES) & (F.col("type") == "INSERT")).select(
-        _ods_topic(F.col("table")).alias("topic"), F.explode("data").alias("value")
+    wanted = F.col("table").isin(FACT_TABLES) & (F.col("type") == "INSERT")
+    return _fields(records).where(wanted).select(
+        _ods_topic(F.col("table")).alias("topic"), F.explode(F.from_json("data", "array<string>")).alias("value")
     )

@@ -1,16 +1,17 @@
 """Joins on a key that may hold a large part of all rows.
 
-The few keys that dominate a table are found with a frequent-items sketch, one
-column wide and merged in two levels. Rows of such a key are dealt into slices
-of bounded size and the other side's row is repeated once per slice. Ordinary
-keys stay in slice 0, so the usual case is a plain shuffle join with one extra
-broadcast of at most ``MAX_HOT`` rows. Which keys count as hot changes only how
-work is spread, never the result.
+The few keys that dominate a table are found first with a frequent-items
+sketch, one column wide and merged in two levels; at most ``MAX_HOT`` keys come
+back. When there are none, which is the usual case, joins and windows run
+plainly on the key. Otherwise rows of a hot key are dealt into slices of
+bounded size and the other side's row is repeated once per slice. Which keys
+count as hot changes only how work is spread, never the result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +25,24 @@ SLICE = "_slice"
 SLICES = "_slices"
 
 
-def hot_keys(df: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """``key, _slices`` for every key of more than ``slice_rows`` rows; at most ``MAX_HOT`` rows.
+@dataclass(frozen=True)
+class HotKeys:
+    """Dominant keys of a table and the number of slices each is dealt into."""
+
+    key: str
+    slices: tuple[tuple, ...]
+
+    def __bool__(self) -> bool:
+        return bool(self.slices)
+
+    def table(self, like: DataFrame) -> DataFrame:
+        """The keys as a table typed like ``like``; at most ``MAX_HOT`` rows, so safe to broadcast."""
+        ddl = f"{self.key} {like.schema[self.key].dataType.simpleString()}, {SLICES} int"
+        return F.broadcast(like.sparkSession.createDataFrame(list(self.slices), ddl))
+
+
+def hot_keys(df: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> HotKeys:
+    """Keys of more than ``slice_rows`` rows. Reads only the key column of ``df``.
 
     The key must be of a type the sketch takes (numbers, strings, dates).
     """
@@ -38,25 +55,26 @@ def hot_keys(df: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> DataFrame
     )
     merged = sketches.agg(F.call_function("approx_top_k_combine", F.col("_sketch"), F.lit(_TRACKED)).alias("_all"))
     top = merged.select(F.explode(F.call_function("approx_top_k_estimate", F.col("_all"), F.lit(MAX_HOT))).alias("_t"))
-    return top.where(F.col("_t.count") > slice_rows).select(
-        F.col("_t.item").alias(key), F.ceil(F.col("_t.count") / slice_rows).cast("int").alias(SLICES)
-    )
+    slices = F.ceil(F.col("_t.count") / slice_rows).cast("int")
+    hot = top.where(F.col("_t.count") > slice_rows).select("_t.item", slices).collect()
+    return HotKeys(key, tuple(tuple(row) for row in hot))
 
 
-def deal(df: DataFrame, hot: DataFrame, key: str, by: Sequence[str]) -> DataFrame:
+def deal(df: DataFrame, hot: HotKeys, by: Sequence[str]) -> DataFrame:
     """Add ``_slices`` and ``_slice``; rows of a hot key are dealt by a hash of ``by``."""
+    dealt = F.pmod(F.xxhash64(*by), F.col(SLICES))
     return (
-        df.join(F.broadcast(hot), key, "left")
+        df.join(hot.table(df), hot.key, "left")
         .withColumn(SLICES, F.coalesce(SLICES, F.lit(1)))
-        .withColumn(SLICE, F.when(F.col(SLICES) > 1, F.pmod(F.xxhash64(*by), F.col(SLICES))).otherwise(0).cast("int"))
+        .withColumn(SLICE, F.when(F.col(SLICES) > 1, dealt).otherwise(0).cast("int"))
     )
 
 
-def repeat(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+def repeat(df: DataFrame, hot: HotKeys) -> DataFrame:
     """Repeat a row of a hot key once per slice, numbered in ``_slice``."""
     last = F.coalesce(F.col(SLICES), F.lit(1)) - 1
     return (
-        df.join(F.broadcast(hot), key, "left")
+        df.join(hot.table(df), hot.key, "left")
         .withColumn(SLICE, F.explode(F.sequence(F.lit(0), last)))
-        .drop(SLICES)
+        .withColumn(SLICES, last + 1)
     )

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewater import schemas
 from tidewater.functions.clock import epoch_seconds
 from tidewater.functions.money import cents, money, proportional_cents
-from tidewater.operators.skew import SLICE, SLICES, deal, hot_keys, repeat
+from tidewater.operators.skew import SLICE, SLICES, HotKeys, deal, hot_keys, repeat
 
 # Join window, slide and state lifetime in seconds.
 WINDOW_SECONDS = 15
@@ -48,54 +49,50 @@ _DETAIL_COLUMNS = {
 }
 
 
-def order_side(orders: DataFrame, *extra: str) -> DataFrame:
-    """Order columns under their names in the fact."""
-    return orders.select(*[F.col(a).alias(b) for a, b in _ORDER_COLUMNS.items()], *extra)
-
-
-def detail_side(details: DataFrame, *extra: str) -> DataFrame:
-    """Line columns under their names in the fact, with the order id to join on."""
-    return details.select("order_id", *[F.col(a).alias(b) for a, b in _DETAIL_COLUMNS.items()], *extra)
+def _renamed(df: DataFrame, columns: dict[str, str], extra: tuple[str, ...]) -> DataFrame:
+    return df.select(*[F.col(a).alias(b) for a, b in columns.items() if a in df.columns], *extra)
 
 
 def join_order_detail(
     orders: DataFrame,
     details: DataFrame,
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
     order_extra: tuple[str, ...] = (),
     detail_extra: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Inner join of orders and lines on the order id, safe for an order of very many lines.
+    """Inner join of orders and lines on the order id, columns named as in the fact.
 
-    ``hot`` is :func:`hot_keys` over the lines' ``order_id``; give it when a
-    cheaper scan of the same lines is at hand. The slice columns stay on the
-    result for :func:`allocate_amount`.
+    Sides may leave out attributes nobody asks for; the fact then lacks them.
+    Lines of an order that dominates the table are dealt into slices, whose
+    columns stay on the result for :func:`allocate_amount`. Give ``hot`` when
+    the lines' order ids can be had from a cheaper scan.
     """
-    hot = hot_keys(details, "order_id") if hot is None else hot
-    lines = deal(detail_side(details, *detail_extra), hot, "order_id", ["order_detail_id"])
-    heads = repeat(order_side(orders, *order_extra), hot, "order_id")
-    return heads.join(lines, ["order_id", SLICE])
+    lines = _renamed(details, {"order_id": "order_id", **_DETAIL_COLUMNS}, detail_extra)
+    heads = _renamed(orders, _ORDER_COLUMNS, order_extra)
+    hot = hot_keys(lines, "order_id") if hot is None else hot
+    if not hot:
+        return heads.join(lines, "order_id")
+    # Equal slice counts on both sides let a filter on them reach both scans.
+    return repeat(heads, hot).join(
+        deal(lines, hot, ["order_detail_id", *detail_extra]), ["order_id", SLICE, SLICES]
+    )
 
 
-def to_order_wide(joined: DataFrame, keep_slices: bool = False) -> DataFrame:
-    """The 26 columns of the fact, missing numbers as 0 and no amount allocated yet."""
+def to_order_wide(joined: DataFrame) -> DataFrame:
+    """Columns of the fact that are at hand, missing numbers as 0 and no amount allocated yet."""
     have = joined.withColumn("final_detail_amount", F.lit(0))
     columns = []
-    for field in spark_fields(schemas.ORDER_WIDE):
-        column = F.col(field.name)
-        if field.dataType.typeName() != "string":
-            column = F.coalesce(column, F.lit(0))
-        columns.append(column.cast(field.dataType).alias(field.name))
-    return have.select(*columns, *([SLICE, SLICES] if keep_slices else []))
-
+    for field in StructType.fromDDL(schemas.ORDER_WIDE).fields:
+        if field.name in have.columns:
+            column = F.col(field.name)
+            # The ids come from the join and keep its partitioning only as they are.
+            if field.dataType.typeName() != "string" and field.name not in ("order_id", "order_detail_id"):
+                column = F.coalesce(column, F.lit(0)).cast(field.dataType).alias(field.name)
+            columns.append(column)
+    return have.select(*columns, *[c for c in (SLICE, SLICES) if c in joined.columns])
 
-def spark_fields(ddl: str):
-    from pyspark.sql.types import StructType
 
-    return StructType.fromDDL(ddl).fields
-
-
-def allocate_amount(wide: DataFrame) -> DataFrame:
+def allocate_amount(wide: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Fill ``final_detail_amount``: the order's paid amount split over its lines.
 
     A line gets paid total x price x number / original total, rounded to cents.
@@ -103,41 +100,46 @@ def allocate_amount(wide: DataFrame) -> DataFrame:
     it (the last one with an amount) gets what the others leave, so the shares
     add up exactly. Orders with lines missing have no completing line.
 
-    Sums per order run as a window over the partitioning of the join; orders
-    dealt into slices also get their few slice sums added up, bounded by the
-    number of hot keys.
+    Sums per order run as a window over the partitioning of the join. Orders
+    dealt into slices get their slice sums added up, a row per hot order.
     """
-    if SLICE not in wide.columns:
-        wide = deal(wide, hot_keys(wide, "order_id"), "order_id", ["order_detail_id"])
-    amount = cents(F.col("sku_price")) * F.col("sku_num")
-    rows = wide.withColumn("_amount", amount).withColumn(
-        "_share",
-        proportional_cents(
-            cents(F.col("final_total_amount")), F.col("_amount"), cents(F.col("original_total_amount"))
-        ),
+    if hot is None and SLICE not in wide.columns:
+        hot = hot_keys(wide, "order_id")
+    if hot and SLICE not in wide.columns:
+        wide = deal(wide, hot, ["order_detail_id"])
+    out = [c for c in wide.columns if c not in (SLICE, SLICES)]
+    paid, original = cents(F.col("final_total_amount")), cents(F.col("original_total_amount"))
+    rows = wide.withColumn("_amount", cents(F.col("sku_price")) * F.col("sku_num")).withColumn(
+        "_share", proportional_cents(paid, F.col("_amount"), original)
     )
-    per_slice = Window.partitionBy("order_id", SLICE)
     sums = {
         "_amounts": F.sum("_amount"),
         "_shares": F.sum("_share"),
         "_last": F.max(F.when(F.col("_amount") > 0, F.col("order_detail_id"))),
         "_least": F.min("order_detail_id"),
     }
-    rows = rows.withColumns({name: total.over(per_slice) for name, total in sums.items()})
-    sliced = rows.where(F.col(SLICES) > 1).groupBy("order_id").agg(*[t.alias(f"{n}_all") for n, t in sums.items()])
-    # At most one row per hot key, see MAX_HOT.
-    rows = rows.join(F.broadcast(sliced), "order_id", "left")
-    whole = {n: F.coalesce(F.col(f"{n}_all"), F.col(n)) for n in sums}
-    completes = (whole["_amounts"] == cents(F.col("original_total_amount"))) & (
+    whole = {name: F.col(name) for name in sums}
+    keys = ["order_id", SLICE, SLICES] if SLICE in wide.columns else ["order_id"]
+    window = Window.partitionBy(*keys)
+    summed = rows.withColumns({name: total.over(window) for name, total in sums.items()})
+    if SLICE in wide.columns:
+        hot_sums = rows.where(F.col(SLICES) > 1).groupBy("order_id")
+        hot_sums = hot_sums.agg(*[total.alias(f"{name}_all") for name, total in sums.items()])
+        # One row per hot order, at most MAX_HOT.
+        summed = summed.join(F.broadcast(hot_sums), "order_id", "left")
+        whole = {name: F.coalesce(F.col(f"{name}_all"), F.col(name)) for name in sums}
+    completes = (whole["_amounts"] == original) & (
         F.col("order_detail_id") == F.coalesce(whole["_last"], whole["_least"])
     )
-    rest = cents(F.col("final_total_amount")) - whole["_shares"] + F.col("_share")
-    share = F.when(completes, rest).otherwise(F.col("_share"))
-    return rows.withColumn("final_detail_amount", money(share)).select(*schemas.names(schemas.ORDER_WIDE))
+    share = F.when(completes, paid - whole["_shares"] + F.col("_share")).otherwise(F.col("_share"))
+    return summed.withColumn("final_detail_amount", money(share)).select(*out)
 
 
 def dedup_join(joined: DataFrame, arrival: str) -> DataFrame:
-    """One row per order and line, the earliest arrived; redelivered lines collapse."""
+    """One row per order and line, the earliest arrived; redelivered lines collapse.
+
+    A minimum combines before any shuffle, so very many copies of a line are no burden.
+    """
     keys = ["order_id", "order_detail_id"]
     rest = [c for c in joined.columns if c not in keys and c != arrival]
     first = F.min(F.struct(arrival, *rest)).alias("_first")
@@ -150,7 +152,7 @@ def _batch_number(arrival: str):
     return F.floor(epoch_seconds(F.col(arrival)) / SLIDE_SECONDS)
 
 
-def join_orders_window(orders: DataFrame, details: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def join_orders_window(orders: DataFrame, details: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Pairs whose arrivals fall into one sliding window, each line once.
 
     Both sides carry ``arrival``. With windows of three slides a pair meets
@@ -165,7 +167,7 @@ def join_orders_window(orders: DataFrame, details: DataFrame, hot: DataFrame | N
 
 
 def join_orders_cache(
-    orders: DataFrame, details: DataFrame, ttl_seconds: int = STATE_TTL_SECONDS, hot: DataFrame | None = None
+    orders: DataFrame, details: DataFrame, ttl_seconds: int = STATE_TTL_SECONDS, hot: HotKeys | None = None
 ) -> DataFrame:
     """Pairs that arrive less than ``ttl_seconds`` apart, whichever side is first, each line once."""
     heads = orders.withColumn("_order_at", epoch_seconds(F.col("arrival")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 _LOGS = """
 logs AS (
   SELECT 'mid_' || user_id AS mid, CAST(user_id AS VARCHAR) AS uid, CAST(user_id % 34 AS VARCHAR) AS ar,
-         event_type AS ch, json_extract_string(props, '$.k') AS vc, epoch_ms(ts) AS ts,
+         event_type AS ch, json_extract_string(props, '$.k') AS vc, epoch_us(ts) // 1000 AS ts,
          strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS hr, strftime(ts, '%M') AS mi,
          event_type IN ('signup', 'view') AS is_start
   FROM events),

@@ -11,7 +11,7 @@ from tidewater import schemas
 from tidewater.functions.clock import epoch_seconds, parse_time, text_time
 from tidewater.operators import dau as dau_ops
 from tidewater.operators import dims, orders, routing, trademark, wide
-from tidewater.operators.skew import hot_keys
+from tidewater.operators.skew import HotKeys, hot_keys
 from tidewater.plans import reports
 from tidewater.sinks.tables import latest_by_key
 from tidewater.sources import sample
@@ -58,25 +58,38 @@ def _details(spark: SparkSession, sf: str) -> DataFrame:
     return orders.join_sku(sample.order_detail(spark, sf), sample.sku_dim(spark, sf))
 
 
-def _hot(spark: SparkSession, sf: str) -> DataFrame:
+def _hot(spark: SparkSession, sf: str) -> HotKeys:
     return hot_keys(sample.order_detail_keys(spark, sf), "order_id")
 
 
-def _wide(spark: SparkSession, sf: str) -> DataFrame:
-    """Order fact before allocation, still carrying the slices of the join."""
-    joined = wide.join_order_detail(_orders(spark, sf), _details(spark, sf), _hot(spark, sf))
-    return wide.to_order_wide(joined, keep_slices=True)
+def _wide(spark: SparkSession, sf: str, heads: DataFrame, lines: DataFrame) -> DataFrame:
+    """Order fact before allocation from order and line rows."""
+    return wide.to_order_wide(wide.join_order_detail(heads, lines, _hot(spark, sf)))
 
 
-def _split(spark: SparkSession, sf: str) -> DataFrame:
-    return wide.allocate_amount(_wide(spark, sf))
+def _allocated(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
+    """Allocated lines with the order's calendar fields and no further order attributes."""
+    hot = _hot(spark, sf)
+    heads = orders.derive_order_time(sample.order_info(spark, sf))
+    return wide.allocate_amount(wide.to_order_wide(wide.join_order_detail(heads, lines, hot)), hot)
+
+
+def _paid(spark: SparkSession, sf: str) -> DataFrame:
+    return _allocated(spark, sf, sample.order_detail(spark, sf))
 
 
 def _stat(spark: SparkSession, sf: str) -> DataFrame:
     created = epoch_seconds(parse_time(F.col("create_time")))
     bucket = F.floor(created / BATCH_SECONDS) * BATCH_SECONDS
     clock = text_time(parse_time(F.lit("1970-01-01")) + F.make_dt_interval(secs=bucket.cast("decimal(18,6)")))
-    return trademark.trademark_batch_stat(_split(spark, sf), clock)
+    return trademark.trademark_batch_stat(_allocated(spark, sf, _details(spark, sf)), clock)
+
+
+def _sales(spark: SparkSession, sf: str) -> DataFrame:
+    """Order fact with user attributes, not allocated."""
+    heads = orders.derive_order_time(sample.order_info(spark, sf))
+    heads = orders.join_user(heads, _users(spark, sf))
+    return _wide(spark, sf, heads, _details(spark, sf))
 
 
 # --- queries ----------------------------------------------------------------
@@ -202,12 +215,12 @@ def order_join_cache(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def order_wide(spark: SparkSession, sf: str) -> DataFrame:
-    joined = wide.join_order_detail(_orders(spark, sf), _details(spark, sf), _hot(spark, sf))
-    return wide.to_order_wide(joined)
+    fact = _wide(spark, sf, _orders(spark, sf), _details(spark, sf))
+    return fact.select(*schemas.names(schemas.ORDER_WIDE))
 
 
 def order_split(spark: SparkSession, sf: str) -> DataFrame:
-    return _split(spark, sf).select(
+    return _paid(spark, sf).select(
         "order_id", "order_detail_id", "final_total_amount", "original_total_amount", "final_detail_amount"
     )
 
@@ -225,19 +238,19 @@ def datav_trademark(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def order_total(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.order_total(_split(spark, sf))
+    return reports.order_total(_paid(spark, sf))
 
 
 def order_hour(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.order_hour(_split(spark, sf))
+    return reports.order_hour(_paid(spark, sf))
 
 
 def order_hour_compare(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.hour_compare(reports.order_hour(_split(spark, sf)), "amount")
+    return reports.hour_compare(reports.order_hour(_paid(spark, sf)), "amount")
 
 
 def realtime_total(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.realtime_total(dau_ops.dau_total(_dau(spark, sf)), reports.order_total(_split(spark, sf)))
+    return reports.realtime_total(dau_ops.dau_total(_dau(spark, sf)), reports.order_total(_paid(spark, sf)))
 
 
 def search_page(spark: SparkSession, sf: str) -> DataFrame:
@@ -249,7 +262,7 @@ def search_page(spark: SparkSession, sf: str) -> DataFrame:
 
 def sale_detail(spark: SparkSession, sf: str) -> DataFrame:
     return reports.sale_detail(
-        wide.to_order_wide(wide.join_order_detail(_orders(spark, sf), _details(spark, sf), _hot(spark, sf))),
+        _sales(spark, sf),
         sample.user_info(spark, sf),
         sample.as_of(),
         keyword=SEARCH_WORD,
@@ -259,15 +272,16 @@ def sale_detail(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sale_detail_total(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.sale_detail_total(_wide(spark, sf), keyword=SEARCH_WORD)
+    return reports.sale_detail_total(_sales(spark, sf), keyword=SEARCH_WORD)
 
 
 def sale_detail_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.sale_detail_stats(_wide(spark, sf), keyword=SEARCH_WORD)
+    return reports.sale_detail_stats(_sales(spark, sf), keyword=SEARCH_WORD)
 
 
 def province_sales(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.province_sales(_wide(spark, sf))
+    heads = orders.join_province(sample.order_info(spark, sf), sample.base_province(spark, sf))
+    return reports.province_sales(_wide(spark, sf, heads, sample.order_detail(spark, sf)))
 
 
 _QUERIES = [

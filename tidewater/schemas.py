@@ -6,9 +6,6 @@ MONEY = "decimal(18,2)"
 
 START_LOG = "common struct<mid:string,uid:string,ar:string,ch:string,vc:string>, ts bigint"
 
-CDC_OBJECT = "table string, type string, data string"
-CDC_ARRAY = "table string, type string, data array<string>"
-
 BASE_PROVINCE = "id string, name string, area_code string, iso_code string, iso_3166_2 string"
 BASE_CATEGORY3 = "id string, name string, category2_id string"
 # The key may arrive as tm_id or as id.
