@@ -84,9 +84,14 @@ def join_sku(details: DataFrame, skus: DataFrame, strict: bool = False) -> DataF
 
 
 def order_info_wide(
-    orders: DataFrame, state: DataFrame, provinces: DataFrame, users: DataFrame, strict: bool = False
+    orders: DataFrame,
+    state: DataFrame,
+    provinces: DataFrame,
+    users: DataFrame,
+    strict: bool = False,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Orders with calendar fields, first-order flag, province and user attributes."""
     flagged = flag_first_order(derive_order_time(orders), state)
     wide = join_user(join_province(flagged, provinces), users, strict)
-    return wide.select(*schemas.names(schemas.ORDER_INFO_WIDE))
+    return wide.select(*schemas.names(schemas.ORDER_INFO_WIDE), *keep)

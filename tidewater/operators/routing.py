@@ -26,25 +26,24 @@ def _ods_topic(table):
     return F.concat(F.lit(ODS_PREFIX), F.upper(table))
 
 
-def _fields(records: DataFrame) -> DataFrame:
+def _fields(records: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     """``table, type, data`` of change records as text, parsed once per record."""
-    return records.select(F.json_tuple("value", "table", "type", "data").alias("table", "type", "data"))
+    return records.select(*keep, F.json_tuple("value", "table", "type", "data").alias("table", "type", "data"))
 
 
-def route_cdc_object(records: DataFrame) -> DataFrame:
+def route_cdc_object(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """``topic, value`` of change records that carry one row each.
 
     Facts pass as inserts only; dimension rows pass whatever the operation was.
     """
     wanted = (F.col("table").isin(FACT_TABLES) & (F.col("type") == "insert")) | F.col("table").isin(DIM_TABLES)
-    return _fields(records).where(wanted & (F.length("data") > MIN_ROW_JSON)).select(
-        _ods_topic(F.col("table")).alias("topic"), F.col("data").alias("value")
+    return _fields(records, keep).where(wanted & (F.length("data") > MIN_ROW_JSON)).select(
+        _ods_topic(F.col("table")).alias("topic"), F.col("data").alias("value"), *keep
     )
 
 
-def route_cdc_array(records: DataFrame) -> DataFrame:
+def route_cdc_array(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """``topic, value`` of change records that carry a list of rows; one output row per element."""
     wanted = F.col("table").isin(FACT_TABLES) & (F.col("type") == "INSERT")
-    return _fields(records).where(wanted).select(
-        _ods_topic(F.col("table")).alias("topic"), F.explode(F.from_json("data", "array<string>")).alias("value")
-    )
+    rows = F.explode(F.from_json("data", "array<string>")).alias("value")
+    return _fields(records, keep).where(wanted).select(_ods_topic(F.col("table")).alias("topic"), rows, *keep)

@@ -53,7 +53,9 @@ def hot_keys(df: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> HotKeys:
         .groupBy("_merger")
         .agg(F.call_function("approx_top_k_accumulate", F.col(key), F.lit(_TRACKED)).alias("_sketch"))
     )
-    merged = sketches.agg(F.call_function("approx_top_k_combine", F.col("_sketch"), F.lit(_TRACKED)).alias("_all"))
+    # Grouped by a constant: an empty table has no sketch to merge.
+    whole = F.call_function("approx_top_k_combine", F.col("_sketch"), F.lit(_TRACKED)).alias("_all")
+    merged = sketches.groupBy(F.lit("all")).agg(whole)
     top = merged.select(F.explode(F.call_function("approx_top_k_estimate", F.col("_all"), F.lit(MAX_HOT))).alias("_t"))
     slices = F.ceil(F.col("_t.count") / slice_rows).cast("int")
     hot = top.where(F.col("_t.count") > slice_rows).select("_t.item", slices).collect()

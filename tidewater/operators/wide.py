@@ -17,7 +17,7 @@ SLIDE_SECONDS = 5
 STATE_TTL_SECONDS = 600
 
 # Column of the order row -> column of the fact.
-_ORDER_COLUMNS = {
+ORDER_COLUMNS = {
     "id": "order_id",
     "order_status": "order_status",
     "create_time": "create_time",
@@ -34,7 +34,7 @@ _ORDER_COLUMNS = {
     "create_date": "dt",
 }
 # Column of the line row -> column of the fact.
-_DETAIL_COLUMNS = {
+DETAIL_COLUMNS = {
     "id": "order_detail_id",
     "sku_id": "sku_id",
     "order_price": "sku_price",
@@ -67,8 +67,8 @@ def join_order_detail(
     columns stay on the result for :func:`allocate_amount`. Give ``hot`` when
     the lines' order ids can be had from a cheaper scan.
     """
-    lines = _renamed(details, {"order_id": "order_id", **_DETAIL_COLUMNS}, detail_extra)
-    heads = _renamed(orders, _ORDER_COLUMNS, order_extra)
+    lines = _renamed(details, {"order_id": "order_id", **DETAIL_COLUMNS}, detail_extra)
+    heads = _renamed(orders, ORDER_COLUMNS, order_extra)
     hot = hot_keys(lines, "order_id") if hot is None else hot
     if not hot:
         return heads.join(lines, "order_id")
@@ -78,7 +78,7 @@ def join_order_detail(
     )
 
 
-def to_order_wide(joined: DataFrame) -> DataFrame:
+def to_order_wide(joined: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Columns of the fact that are at hand, missing numbers as 0 and no amount allocated yet."""
     have = joined.withColumn("final_detail_amount", F.lit(0))
     columns = []
@@ -89,7 +89,7 @@ def to_order_wide(joined: DataFrame) -> DataFrame:
             if field.dataType.typeName() != "string" and field.name not in ("order_id", "order_detail_id"):
                 column = F.coalesce(column, F.lit(0)).cast(field.dataType).alias(field.name)
             columns.append(column)
-    return have.select(*columns, *[c for c in (SLICE, SLICES) if c in joined.columns])
+    return have.select(*columns, *keep, *[c for c in (SLICE, SLICES) if c in joined.columns])
 
 
 def allocate_amount(wide: DataFrame, hot: HotKeys | None = None) -> DataFrame:
