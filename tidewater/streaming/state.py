@@ -39,7 +39,7 @@ def dedup_daily_stream(dau: DataFrame, delay: str = DAY_DELAY, spread: int = DED
 
 
 def join_orders_stream(orders: DataFrame, details: DataFrame, within: str, delay: str | None = None) -> DataFrame:
-    """Order fact rows whose order and line arrive at most ``within`` apart, each line once.
+    """Order fact rows whose order and line arrive less than ``within`` apart, each line once.
 
     Both sides carry their arrival in ``timestamp``. Rows more than ``delay``
     (default ``within``) behind the newest arrival of their side may be dropped.
@@ -54,7 +54,7 @@ def join_orders_stream(orders: DataFrame, details: DataFrame, within: str, delay
         F.col("timestamp").alias("arrival"),
     ).withWatermark("arrival", delay)
     reach = F.expr(f"interval {within}")
-    near = F.col("arrival").between(F.col("_order_at") - reach, F.col("_order_at") + reach)
+    near = (F.col("arrival") > F.col("_order_at") - reach) & (F.col("arrival") < F.col("_order_at") + reach)
     joined = heads.join(lines, (F.col("order_id") == F.col("_line_order")) & near)
     # One event-time column may remain for the dedup.
     pairs = joined.drop("_order_at", "_line_order").dropDuplicatesWithinWatermark(["order_id", "order_detail_id"])
