@@ -36,35 +36,41 @@ def order_hour(wide: DataFrame, date: str | None = None) -> DataFrame:
 def hour_compare(hourly: DataFrame, value: str, date: str | None = None) -> DataFrame:
     """24 rows per day with the value of that day and of the day before, 0 where there is none.
 
-    ``hourly`` has ``dt, hr`` and the value; it is at most 24 rows per day.
+    ``hourly`` has ``dt, hr`` and the value, at most 24 rows per day. Every row
+    counts for its own day and the next, so ``hourly`` is computed once.
     """
-    previous = F.date_add(F.col("dt").cast("date"), 1).cast("string")
+    own, following = F.col("dt"), F.date_add(F.col("dt").cast("date"), 1).cast("string")
+    none = F.lit(None)
+    sides = F.array(
+        F.struct(own.alias("day"), F.col(value).alias("today"), none.alias("yesterday"), F.lit(True).alias("own")),
+        F.struct(following.alias("day"), none.alias("today"), F.col(value).alias("yesterday"), F.lit(False).alias("own")),
+    )
+    if date is not None:
+        hourly = hourly.where((own == date) | (following == date))
+    both = hourly.select("hr", F.inline(sides))
     if date is not None:
-        day_before = F.date_sub(F.lit(date).cast("date"), 1).cast("string")
-        hourly = hourly.where(F.col("dt").isin(date) | (F.col("dt") == day_before))
-    both = hourly.select(
-        "hr",
-        F.explode(
-            F.array(
-                F.struct(F.col("dt").alias("day"), F.col(value).alias("today"), F.lit(None).alias("yesterday")),
-                F.struct(previous.alias("day"), F.lit(None).alias("today"), F.col(value).alias("yesterday")),
-            )
-        ).alias("_p"),
-    ).select("_p.day", "hr", "_p.today", "_p.yesterday")
-    present = both if date is None else both.where(F.col("day") == date)
-    sums = present.groupBy("day", "hr").agg(F.sum("today").alias("today"), F.sum("yesterday").alias("yesterday"))
+        both = both.where(F.col("day") == date)
+    hours = both.groupBy("day", "hr").agg(
+        F.sum("today").alias("today"), F.sum("yesterday").alias("yesterday"), F.max("own").alias("own")
+    )
+    # At most 24 entries per day.
+    entries = F.map_from_entries(F.collect_list(F.struct("hr", F.struct("today", "yesterday")))).alias("_by_hour")
     if date is None:
-        days = hourly.select(F.col("dt").alias("day")).distinct()
-        hours = days.select("day", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("_h"))
+        days = hours.groupBy("day").agg(entries, F.max("own").alias("_own")).where("_own")
     else:
-        hours = hourly.sparkSession.range(24).select(F.lit(date).alias("day"), F.col("id").alias("_h"))
-    spine = hours.select("day", two_digits(F.col("_h")).alias("hr"))
-    return spine.join(sums, ["day", "hr"], "left").select(
-        F.col("day").alias("dt"),
-        "hr",
-        F.coalesce("today", F.lit(0)).alias("today"),
-        F.coalesce("yesterday", F.lit(0)).alias("yesterday"),
-    )
+        days = hours.agg(entries).withColumn("day", F.lit(date))
+
+    def row(h: Column) -> Column:
+        hour = two_digits(h)
+        found = F.try_element_at("_by_hour", hour)
+        return F.struct(
+            hour.alias("hr"),
+            F.coalesce(found["today"], F.lit(0)).alias("today"),
+            F.coalesce(found["yesterday"], F.lit(0)).alias("yesterday"),
+        )
+
+    panel = F.transform(F.sequence(F.lit(0), F.lit(23)), row)
+    return days.select(F.col("day").alias("dt"), F.inline(panel))
 
 
 def realtime_total(dau_totals: DataFrame, order_totals: DataFrame, date: str | None = None) -> DataFrame:
