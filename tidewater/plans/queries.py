@@ -54,42 +54,44 @@ def _orders(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _details(spark: SparkSession, sf: str) -> DataFrame:
-    return orders.join_sku(sample.order_detail(spark, sf), sample.sku_dim(spark, sf))
-
-
 def _hot(spark: SparkSession, sf: str) -> HotKeys:
     return hot_keys(sample.order_detail_keys(spark, sf), "order_id")
 
 
-def _wide(spark: SparkSession, sf: str, heads: DataFrame, lines: DataFrame) -> DataFrame:
+def _details(spark: SparkSession, sf: str, hot: HotKeys | None = None) -> DataFrame:
+    return orders.join_sku(sample.order_detail(spark, sf, hot), sample.sku_dim(spark, sf))
+
+
+def _wide(heads: DataFrame, lines: DataFrame, hot: HotKeys) -> DataFrame:
     """Order fact before allocation from order and line rows."""
-    return wide.to_order_wide(wide.join_order_detail(heads, lines, _hot(spark, sf)))
+    return wide.to_order_wide(wide.join_order_detail(heads, lines, hot))
 
 
-def _allocated(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
+def _allocated(spark: SparkSession, sf: str, lines: DataFrame, hot: HotKeys) -> DataFrame:
     """Allocated lines with the order's calendar fields and no further order attributes."""
-    hot = _hot(spark, sf)
     heads = orders.derive_order_time(sample.order_info(spark, sf))
-    return wide.allocate_amount(wide.to_order_wide(wide.join_order_detail(heads, lines, hot)), hot)
+    return wide.allocate_amount(_wide(heads, lines, hot), hot)
 
 
 def _paid(spark: SparkSession, sf: str) -> DataFrame:
-    return _allocated(spark, sf, sample.order_detail(spark, sf))
+    hot = _hot(spark, sf)
+    return _allocated(spark, sf, sample.order_detail(spark, sf, hot), hot)
 
 
 def _stat(spark: SparkSession, sf: str) -> DataFrame:
     created = epoch_seconds(parse_time(F.col("create_time")))
     bucket = F.floor(created / BATCH_SECONDS) * BATCH_SECONDS
     clock = text_time(parse_time(F.lit("1970-01-01")) + F.make_dt_interval(secs=bucket.cast("decimal(18,6)")))
-    return trademark.trademark_batch_stat(_allocated(spark, sf, _details(spark, sf)), clock)
+    hot = _hot(spark, sf)
+    return trademark.trademark_batch_stat(_allocated(spark, sf, _details(spark, sf, hot), hot), clock)
 
 
 def _sales(spark: SparkSession, sf: str) -> DataFrame:
     """Order fact with user attributes, not allocated."""
     heads = orders.derive_order_time(sample.order_info(spark, sf))
     heads = orders.join_user(heads, _users(spark, sf))
-    return _wide(spark, sf, heads, _details(spark, sf))
+    hot = _hot(spark, sf)
+    return _wide(heads, _details(spark, sf, hot), hot)
 
 
 # --- queries ----------------------------------------------------------------
@@ -204,18 +206,21 @@ _PAIR = ["order_id", "order_detail_id", "user_id", "sku_id", "sku_num", "dt"]
 
 def order_join_window(spark: SparkSession, sf: str) -> DataFrame:
     heads = sample.with_order_arrival(_orders(spark, sf))
-    lines = sample.with_detail_arrival(_details(spark, sf), 4)
-    return wide.join_orders_window(heads, lines, _hot(spark, sf)).select(*_PAIR)
+    hot = _hot(spark, sf)
+    lines = sample.with_detail_arrival(_details(spark, sf, hot), 4)
+    return wide.join_orders_window(heads, lines, hot).select(*_PAIR)
 
 
 def order_join_cache(spark: SparkSession, sf: str) -> DataFrame:
     heads = sample.with_order_arrival(_orders(spark, sf))
-    lines = sample.with_detail_arrival(_details(spark, sf), 140)
-    return wide.join_orders_cache(heads, lines, hot=_hot(spark, sf)).select(*_PAIR)
+    hot = _hot(spark, sf)
+    lines = sample.with_detail_arrival(_details(spark, sf, hot), 140)
+    return wide.join_orders_cache(heads, lines, hot=hot).select(*_PAIR)
 
 
 def order_wide(spark: SparkSession, sf: str) -> DataFrame:
-    fact = _wide(spark, sf, _orders(spark, sf), _details(spark, sf))
+    hot = _hot(spark, sf)
+    fact = _wide(_orders(spark, sf), _details(spark, sf, hot), hot)
     return fact.select(*schemas.names(schemas.ORDER_WIDE))
 
 
@@ -281,7 +286,8 @@ def sale_detail_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 def province_sales(spark: SparkSession, sf: str) -> DataFrame:
     heads = orders.join_province(sample.order_info(spark, sf), sample.base_province(spark, sf))
-    return reports.province_sales(_wide(spark, sf, heads, sample.order_detail(spark, sf)))
+    hot = _hot(spark, sf)
+    return reports.province_sales(_wide(heads, sample.order_detail(spark, sf, hot), hot))
 
 
 _QUERIES = [

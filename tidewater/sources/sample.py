@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidewater import schemas
 from tidewater.functions.clock import epoch_millis, parse_time, text_time
+from tidewater.operators.skew import HotKeys
+from tidewater.sources.tables import empty_table
 
 AS_OF = "2024-01-01"
 PRIOR_UNTIL = "1996-01-01"
@@ -149,10 +151,12 @@ def sku_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- facts ------------------------------------------------------------------
 
 
-def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_detail(spark: SparkSession, sf_dir: str, hot: HotKeys | None = None) -> DataFrame:
     """Order lines; the id is unique within an order and grows with the line number.
 
     Digits of the id: line number, SKU (11), ship day (4), repeat of the three (2).
+    Where no order is known to dominate, the numbering shuffles by order, which
+    a join on the order id that follows uses again.
     """
     line = ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"]
     repeat = F.row_number().over(Window.partitionBy(*line).orderBy("l_suppkey", "l_quantity", "l_extendedprice"))
@@ -164,9 +168,11 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
         + F.col("_repeat")
     )
     part = table(spark, sf_dir, "part").select("p_partkey", _price("p_retailprice").alias("order_price"), "p_name")
+    lineitem = table(spark, sf_dir, "lineitem")
+    if hot is not None and not hot:
+        lineitem = lineitem.repartition("l_orderkey")
     return (
-        table(spark, sf_dir, "lineitem")
-        .withColumn("_repeat", repeat)
+        lineitem.withColumn("_repeat", repeat)
         .join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
         .select(
             number.alias("id"),
@@ -241,7 +247,7 @@ def order_batch(orders: DataFrame) -> DataFrame:
 
 
 def empty_user_state(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], schemas.USER_STATE)
+    return empty_table(spark, schemas.USER_STATE)
 
 
 # --- arrivals ---------------------------------------------------------------

@@ -7,15 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def empty_table(spark: SparkSession, ddl: str) -> DataFrame:
+    """No rows, known as such to the optimizer, which then drops the joins with it."""
+    return spark.createDataFrame([], ddl).limit(0)
+
+
 def read_table(spark: SparkSession, path: str, ddl: str | None = None) -> DataFrame:
     """A Parquet table; an absent one reads as empty when its schema is given."""
     try:
-        reader = spark.read.option("basePath", path)
-        return reader.parquet(path)
+        return spark.read.option("basePath", path).parquet(path)
     except AnalysisException as missing:
         if ddl is None or missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return spark.createDataFrame([], ddl)
+        return empty_table(spark, ddl)
 
 
 def read_days(
