@@ -138,13 +138,18 @@ def allocate_amount(wide: DataFrame, hot: HotKeys | None = None) -> DataFrame:
 def dedup_join(joined: DataFrame, arrival: str) -> DataFrame:
     """One row per order and line, the earliest arrived; redelivered lines collapse.
 
-    A minimum combines before any shuffle, so very many copies of a line are no burden.
+    Copies are ranked within the join's partitioning. Where some order was dealt
+    into slices, copies of a line sit in several of them, so a minimum is taken
+    instead; it combines before the shuffle, whatever the number of copies.
     """
     keys = ["order_id", "order_detail_id"]
-    rest = [c for c in joined.columns if c not in keys and c != arrival]
-    first = F.min(F.struct(arrival, *rest)).alias("_first")
+    if SLICE not in joined.columns:
+        copy = F.row_number().over(Window.partitionBy(*keys).orderBy(arrival))
+        return joined.withColumn("_copy", copy).where(F.col("_copy") == 1).drop("_copy")
+    out = [c for c in joined.columns if c not in (SLICE, SLICES)]
+    first = F.min(F.struct(arrival, *[c for c in out if c not in keys and c != arrival])).alias("_first")
     return joined.groupBy(*keys).agg(first).select(
-        *[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in joined.columns]
+        *[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in out]
     )
 
 
@@ -163,7 +168,7 @@ def join_orders_window(orders: DataFrame, details: DataFrame, hot: HotKeys | Non
     lines = details.withColumn("_detail_batch", _batch_number("arrival")).withColumnRenamed("arrival", "_arrival")
     joined = join_order_detail(heads, lines, hot, ("_order_batch",), ("_detail_batch", "_arrival"))
     met = joined.where(F.abs(F.col("_order_batch") - F.col("_detail_batch")) <= reach)
-    return to_order_wide(dedup_join(met.drop(SLICE, SLICES), "_arrival"))
+    return to_order_wide(dedup_join(met, "_arrival"))
 
 
 def join_orders_cache(
@@ -174,4 +179,4 @@ def join_orders_cache(
     lines = details.withColumn("_detail_at", epoch_seconds(F.col("arrival")))
     joined = join_order_detail(heads, lines, hot, ("_order_at",), ("_detail_at",))
     met = joined.where(F.abs(F.col("_order_at") - F.col("_detail_at")) < ttl_seconds)
-    return to_order_wide(dedup_join(met.drop(SLICE, SLICES), "_detail_at"))
+    return to_order_wide(dedup_join(met, "_detail_at"))
