@@ -2,9 +2,11 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from conftest import SMALL
 from oracle_check import compare, connect
+from tidewater.plans.oracle import oracle_sql
+from tidewater.plans.queries import queries
 
 
 @pytest.fixture(scope="module")
