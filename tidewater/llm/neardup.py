@@ -6,11 +6,11 @@
    most of its shingles occur in other bucketed classes, too; the count of those that do
    not settles classes without a partner, and bounds what two classes can share.
 3. In every bucket the class that shares most is compared with the others on full sets, and
-   links are united. As long as a bucket holds several components, classes outside its
-   largest one are compared with those of other components, first one a bucket, then four,
-   and so on, until all pairs that the bound lets pass are linked, united or refuted. Pairs
-   inside a component need no comparison, so a large group of copies costs about one
-   comparison a member.
+   links are united. Pairs inside a component need no comparison, so a large group of copies
+   costs about one comparison a member.
+4. What is left are classes of buckets that hold several components. Among them, exact prefix
+   filtering finds all pairs of different components that can be similar: only those that
+   share one of their rarest shingles, at places that let them share enough.
 
 Banding misses a pair of similarity 0.85 with a probability below one in a million.
 
@@ -132,37 +132,38 @@ def link_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int)
     roots = components(links)
 
     # Then what is left in buckets of several components.
-    tried = hubs.select("key", F.col("hub").alias("doc_id"))
-    hubs_a_bucket = 1
-    while True:
-        at = members.join(roots.toDF("doc_id", "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-        parts = at.groupBy("key", "root").agg(F.count("*").alias("size"))
-        largest = parts.groupBy("key").agg(F.max(F.struct("size", "root")).alias("top"), F.count("*").alias("parts"))
-        split = keep(largest.where("parts > 1").select("key", F.col("top.root").alias("top")))
-        if split.isEmpty():
-            return roots
-        members = keep(members.join(split.select("key"), "key"))
-        at = keep(at.join(split, "key"))
-        # Classes outside the largest component that were not yet compared with their bucket.
-        open_ = at.where("root <> top").join(keep(tried), ["key", "doc_id"], "left_anti")
-        rank = F.row_number().over(Window.partitionBy("key").orderBy(F.col("n") - F.col("shared"), "doc_id"))
-        chosen = keep(open_.withColumn("rank", rank).where(F.col("rank") <= hubs_a_bucket).drop("rank"))
-        if chosen.isEmpty():
-            return roots
-        one = chosen.select("key", F.col("doc_id").alias("hub"), F.col("n").alias("hub_n"), F.col("shared").alias("hub_shared"), F.col("root").alias("hub_root"))
-        pairs = (
-            at.join(one, "key")
-            .where(F.col("root") != F.col("hub_root"))
-            .where(_possible(F.col("shared"), F.col("hub_shared"), F.col("n"), F.col("hub_n"), percent))
-            .select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b"))
-            .distinct()
-        )
-        found = keep(_links(keep(pairs), sets, percent))
-        if not found.isEmpty():
-            links = links.unionAll(found)
-            roots = components(links)
-        tried = keep(tried.unionAll(chosen.select("key", "doc_id")))
-        hubs_a_bucket *= 4
+    at = members.join(roots.toDF("doc_id", "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    split = keep(at.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key"))
+    left = keep(at.join(split, "key").select("doc_id", "n", "root").distinct())
+    found = keep(_links(keep(_prefix_pairs(left, sets, percent)), sets, percent))
+    return roots if found.isEmpty() else components(links.unionAll(found))
+
+
+def _prefix_pairs(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs ``(a, b)`` of different roots that can be similar, by prefix filtering.
+
+    The shingles of each class ``(doc_id, n, root)`` are ordered from rare to frequent. Two
+    similar sets share a shingle early in both orders, and before their first common one
+    neither has any of the other's; so its places bound what they share.
+    """
+    tokens = sets.join(classes.select("doc_id"), "doc_id").select("doc_id", F.explode("shingles").alias("shingle")).distinct()
+    common = keep(tokens.groupBy("shingle").agg(F.count("*").alias("holders")).where("holders > 1"))
+    held = tokens.join(common, "shingle")
+    own = Window.partitionBy("doc_id")
+    placed = held.select(
+        "doc_id", "shingle", F.row_number().over(own.orderBy("holders", "shingle")).alias("rank"), F.count("*").over(own).alias("shared")
+    )
+    # Shingles that no other class holds come first.
+    placed = placed.join(classes, "doc_id").withColumn("rest", F.col("shared") - F.col("rank") + 1).drop("rank", "shared")
+    prefix = keep(placed.where(100 * F.col("rest") >= percent * F.col("n")))
+    one, two = (prefix.select("shingle", *(F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "n", "root", "rest"))) for side in "ab")
+    return (
+        one.join(two, "shingle")
+        .where("doc_id_a < doc_id_b and root_a <> root_b")
+        .where(_possible(F.col("rest_a"), F.col("rest_b"), F.col("n_a"), F.col("n_b"), percent))
+        .select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
+        .distinct()
+    )
 
 
 def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
