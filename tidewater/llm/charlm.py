@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidewater.llm.text import CharGrams, gram_codes, sign_matrix
 
 # Distinct words a task holds before it turns them into runs.
-FLUSH_WORDS = 300_000
+FLUSH_WORDS = 100_000
 
 
 def gram_counts(df: DataFrame, order: int, classes: int, words: Callable[[object], list[bytes]]) -> DataFrame:

@@ -23,7 +23,7 @@ ORDERS = (1, 2, 3, 4)
 # Hash buckets of the character runs: the model has this many numbers a language.
 BITS = 15
 UNKNOWN = "und"
-_FLUSH_WORDS = 300_000
+_FLUSH_WORDS = 100_000
 
 
 def _buckets(runs: CharGrams, order: int) -> np.ndarray:

@@ -36,7 +36,7 @@ END = 1
 # Groups that the pieces of one length are numbered in side by side.
 SALTS = 256
 # Chunks a worker process remembers before it starts afresh; bounds memory, never results.
-KNOWN_CHUNKS = 800_000
+KNOWN_CHUNKS = 250_000
 # Latin letters with the marks after them: the tokenizer parts the two and lower-cases letters.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ſ]+)([.,;:!?]*)")
 

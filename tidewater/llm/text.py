@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 
 # Words kept in a worker's cache before it starts afresh; bounds memory, never results.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _MIX_A = np.uint64(0xBF58476D1CE4E5B9)
