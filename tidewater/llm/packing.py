@@ -36,9 +36,9 @@ END = 1
 # Groups that the pieces of one length are numbered in side by side.
 SALTS = 256
 # Chunks a worker process remembers before it starts afresh; bounds memory, never results.
-KNOWN_CHUNKS = 250_000
+KNOWN_CHUNKS = 300_000
 # Latin letters with the marks after them: the tokenizer parts the two and lower-cases letters.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ſ]+)([.,;:!?]*)")
+_PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([.,;:!?]*)")
 
 
 # Byte values as the tokenizer's vocabulary writes them: printable ones as they are, the rest from 256 on.
@@ -48,6 +48,15 @@ _BYTES = {b: chr(256 + i) for i, b in enumerate(_REST)}
 _TOKENS: dict[str, Tokens] = {}
 
 
+def _fold(text: str) -> str:
+    """Lower case, as the tokenizer would, where that cannot interfere with its other steps."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text if "<|" in text else text.lower()
+
+
 class Tokens:
     """Token ids of texts as bytes; equal chunks between blanks are encoded once.
 
@@ -63,7 +72,6 @@ class Tokens:
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
         self._known: dict[str, bytes] = {"": b""}
-        self._words: dict[str, bytes] = {"": b""}
 
     @staticmethod
     def shared(path: str) -> Tokens:
@@ -72,27 +80,28 @@ class Tokens:
             _TOKENS[path] = Tokens(path)
         return _TOKENS[path]
 
-    def _word(self, word: str) -> bytes:
-        found = self._words.get(word)
-        if found is None:
-            form = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTES)
-            found = self._words[word] = array("I", [t.id for t in self._model.tokenize(form)]).tobytes()
+    def _merge(self, word: str) -> bytes:
+        form = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTES)
+        found = self._known[word] = array("I", [t.id for t in self._model.tokenize(form)]).tobytes()
         return found
 
     def _learn(self, chunks: set[str]) -> None:
         if len(self._known) > KNOWN_CHUNKS:
-            self._known, self._words = {"": b""}, {"": b""}
-        other = []
-        for chunk in chunks - self._known.keys():
+            self._known = {"": b""}
+        known, other = self._known, []
+        for chunk in chunks - known.keys():
             if m := _PLAIN.fullmatch(chunk):
-                self._known[chunk] = self._word(m[1].lower()) + self._word(m[2])
+                word, marks = m.groups()
+                ids = known.get(word) or self._merge(word)
+                if marks:
+                    known[chunk] = ids + (known.get(marks) or self._merge(marks))
             else:
                 other.append(chunk)
         for chunk, found in zip(other, self._tokenizer.encode_batch(other, add_special_tokens=False)):
-            self._known[chunk] = array("I", found.ids).tobytes()
+            known[chunk] = array("I", found.ids).tobytes()
 
     def of(self, texts: list[str | None]) -> list[bytes]:
-        parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        parts = [_fold(t or "").replace("\n", " ").split(" ") for t in texts]
         self._learn(set().union(*parts))
         return [b"".join(map(self._known.__getitem__, p)) for p in parts]
 
