@@ -21,13 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.tables import keep
+from tidewater.llm.tables import bounded, keep
 from tidewater.llm.text import WordCodes, mix64, small_batches, utf8
 
 # Hash buckets of both models.
 BITS = 16
 # n-grams that every document's mean log ratio is scaled to.
 SPAN = 50
+# Good rows that make the target: all, or a sample by hash of about so many. Their ids are broadcast.
+TARGET_ROWS = 200_000
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -54,7 +56,8 @@ def train(docs: DataFrame, labels: DataFrame) -> np.ndarray:
             {"bucket": pa.array(at.astype(np.int32)), **{c: pa.array(s[at].astype(np.int64)) for c, s in zip(("raw", "target"), sums)}}
         )
 
-    good = labels.where("doc_id is not null").groupBy("doc_id").agg((F.max("quality") > 0).alias("good")).where("good")
+    good = keep(labels.where("doc_id is not null").groupBy("doc_id").agg((F.max("quality") > 0).alias("good")).where("good"))
+    good = F.broadcast(bounded(good, "doc_id", TARGET_ROWS))
     texts = docs.select("doc_id", "text").where("text is not null").join(good, "doc_id", "left").select("text", "good")
     sums = texts.mapInArrow(count, "bucket int, raw bigint, target bigint")
     table = sums.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()

@@ -37,3 +37,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def fold(column: str = "doc_id"):
     """Fold 0 to 4 of a row: CRC-32 of its id as text."""
     return F.crc32(F.col(column).cast("string")) % 5
+
+
+def bounded(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """``df`` if it has at most ``rows`` rows, else a sample of about so many by the hash of ``key``.
+
+    For labelled rows only: the result may be broadcast. ``df`` is read twice, so keep it first.
+    """
+    n = df.count()
+    if n <= rows:
+        return df
+    return df.where(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 40)) < int((1 << 40) * 0.98 * rows / n))

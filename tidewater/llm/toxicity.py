@@ -25,14 +25,15 @@ from pyspark.sql import functions as F
 
 from tidewater.llm import logistic
 from tidewater.llm.charlm import fetch, gram_counts, hashed, spread
-from tidewater.llm.tables import fold, keep
+from tidewater.llm.tables import bounded, fold, keep
 from tidewater.llm.text import CharGrams, WordScores, letter_words, segment_sum, small_batches
 
 ORDER = 5
 # Hash buckets of the model: its tables have at most 2 ** BITS rows, whatever the corpus.
 BITS = 21
-# Labelled rows that calibrate the score; the sample is that of the smallest hashes.
-CALIBRATION_ROWS = 20_000
+# Labelled rows that the class models count and that calibrate the score: all, or a sample by
+# hash of about so many. Their ids and labels are broadcast, so that no text is shuffled.
+LABELLED_ROWS, CALIBRATION_ROWS = 200_000, 20_000
 # Most toxic words of a document whose mean difference is looked at.
 TOP = 3
 # Discount of continuation counts, and the probability under all of them.
@@ -46,30 +47,27 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
     Labels count only in folds 1 to 4 of the ids: 1 to 3 for the counts, 4 for calibration.
     Every document counts in the shared lower orders.
     """
-    known = (
+    known = keep(
         labels.where("doc_id is not null and toxic is not null")
         .where(fold() != 0)
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
     texts = docs.select("doc_id", "text").where("text is not null")
-    counted = known.where(fold() != 4).select("doc_id", F.when(F.col("toxic") > 0, TOXIC).otherwise(ORDINARY).alias("class"))
+    counted = bounded(known.where(fold() != 4), "doc_id", LABELLED_ROWS)
+    counted = counted.select("doc_id", F.when(F.col("toxic") > 0, TOXIC).otherwise(ORDINARY).alias("class"))
     grams = keep(
         gram_counts(
-            texts.join(counted, "doc_id", "left").select("text", F.coalesce("class", F.lit(OTHER)).alias("class")),
+            texts.join(F.broadcast(counted), "doc_id", "left").select("text", F.coalesce("class", F.lit(OTHER)).alias("class")),
             ORDER,
             3,
             letter_words,
         )
     )
     model = _tables(grams)
-    sample = (
-        texts.where(fold() == 4)
-        .join(known.where(fold() == 4), "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-        .limit(CALIBRATION_ROWS)
-    )
-    seen = _features(sample.repartition(F.xxhash64("doc_id", "text")), model, ["toxic"]).toArrow()
+    sample = bounded(known.where(fold() == 4), "doc_id", CALIBRATION_ROWS)
+    sample = texts.where(fold() == 4).join(F.broadcast(sample), "doc_id")
+    seen = _features(sample, model, ["toxic"]).toArrow()
     features = np.array(seen.column("features").to_pylist(), float).reshape(-1, 4)
     model["calibration"] = logistic.fit(features, (seen.column("toxic").to_numpy() > 0).astype(float))
     return model
