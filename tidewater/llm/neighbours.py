@@ -48,7 +48,8 @@ POOL, EXPAND, ROUNDS = 200, 40, 5
 _SALTS = 16
 
 _LISTS = "nbrs array<bigint>, scores array<float>, fresh array<boolean>"
-_MESSAGE = "part bigint, kind int, a bigint, b bigint, ids array<bigint>, values array<float>, flags array<boolean>, vec array<double>"
+_MESSAGE = "part bigint, kind int, a bigint, b bigint, least float, ids array<bigint>, flags array<boolean>, vec binary"
+_BUNDLE = "part bigint, own bigint, src array<bigint>, " + _LISTS
 
 
 def _part(key: str | Column, parts: int) -> Column:
@@ -69,8 +70,9 @@ def _flat(column) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _matrix(column) -> np.ndarray:
-    values, ends = _flat(column)
-    return values.reshape(len(ends) - 1, -1) if len(ends) > 1 else np.zeros((0, 0))
+    """Vectors of a binary column; all have 8 bytes a component."""
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows)).reshape(len(rows), -1) if rows else np.zeros((0, 0))
 
 
 def _best(src: np.ndarray, dst: np.ndarray, score: np.ndarray, fresh: np.ndarray, most: int):
@@ -100,14 +102,23 @@ def _lists(src, dst, score, fresh) -> tuple:
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """``(id, vec)`` of the rows that take part."""
+    """``(id, vec)`` of the rows that take part; vectors as the bytes of their doubles."""
+
+    def pack(batches):
+        for batch in batches:
+            values, ends = _flat(batch.column("vec"))
+            values = values + 0.0  # one form of zero
+            rows = [values[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(rows, pa.binary())], ["id", "vec"])
+
     v = F.col("vec")
     rows = vectors.select(F.col(id_column).cast("bigint").alias("id"), F.col(vector_column).cast("array<double>").alias("vec"))
     good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = rows.where(F.col("id").isNotNull() & v.isNotNull()).where(good)
     sizes = rows.groupBy(F.size("vec").alias("size")).count()
     length = sizes.orderBy(F.desc("count"), "size").first()
-    return rows.where(F.size("vec") == (length["size"] if length else 0)).distinct()
+    rows = rows.where(F.size("vec") == (length["size"] if length else 0))
+    return rows.mapInArrow(pack, "id bigint, vec binary").distinct()
 
 
 def _start(nodes: DataFrame, n: int, seed: int) -> DataFrame:
@@ -135,7 +146,7 @@ def _start(nodes: DataFrame, n: int, seed: int) -> DataFrame:
         lists = [_ragged(list(x), k) for x, k in ((dst, pa.int64()), (score, pa.float32()), (np.ones_like(dst, bool), pa.bool_()))]
         return pa.table([table.column("id"), *lists], names=["id", "nbrs", "scores", "fresh"])
 
-    cells = keep(nodes.select("id", "vec").mapInArrow(sides, "id bigint, vec array<double>, cell bigint"))
+    cells = keep(nodes.select("id", "vec").mapInArrow(sides, "id bigint, vec binary, cell bigint"))
     counts = cells.groupBy("cell").count()
     blocks = cells.join(counts, "cell").withColumn(
         "block", F.pmod(F.xxhash64(F.lit(seed), "id"), F.ceil(F.col("count") / BLOCK))
@@ -143,26 +154,31 @@ def _start(nodes: DataFrame, n: int, seed: int) -> DataFrame:
     return blocks.select("id", "vec", "cell", "block").groupBy("cell", "block").applyInArrow(block, f"id bigint, {_LISTS}")
 
 
-def _merge(lists: DataFrame, parts: int) -> DataFrame:
-    """The best of all lists of each node."""
+def _bundles(lists: DataFrame, parts: int) -> DataFrame:
+    """Lists of nodes as messages to the parts of the nodes."""
+    return lists.select(
+        _part("id", parts).alias("part"), F.col("id").alias("own"), F.array_repeat("id", F.size("nbrs")).alias("src"), "nbrs", "scores", "fresh"
+    )
+
+
+def _merge(bundles: DataFrame) -> DataFrame:
+    """The best of all lists of each node; ``own`` names nodes that may have none."""
 
     def best(table: pa.Table) -> pa.Table:
-        ids = table.column("id").to_numpy()
-        dst, ends = _flat(table.column("nbrs"))
-        src = np.repeat(ids, np.diff(ends))
-        score, fresh = _flat(table.column("scores"))[0], _flat(table.column("fresh"))[0].astype(bool)
+        ids = np.unique(table.column("own").drop_null().to_numpy())
+        src, dst, score, fresh = (_flat(table.column(c))[0] for c in ("src", "nbrs", "scores", "fresh"))
         own = src != dst
-        src, *rest = _lists(*_best(src[own], dst[own], score[own], fresh[own], NEIGHBOURS))
+        src, *rest = _lists(*_best(src[own], dst[own], score[own], fresh[own].astype(bool), NEIGHBOURS))
         lonely = np.setdiff1d(ids, np.asarray(src))
         none = [_ragged([np.zeros(0)] * len(lonely), k) for k in (pa.int64(), pa.float32(), pa.bool_())]
         columns = [pa.concat_arrays([a, b]) for a, b in zip((src, *rest), (pa.array(lonely, pa.int64()), *none))]
         return pa.table(columns, names=["id", "nbrs", "scores", "fresh"])
 
-    return lists.groupBy(_part("id", parts).alias("part")).applyInArrow(best, f"id bigint, {_LISTS}")
+    return bundles.groupBy("part").applyInArrow(best, f"id bigint, {_LISTS}")
 
 
 def _reverse(graph: DataFrame) -> DataFrame:
-    """``(id, source, fresh)``: a sample of the nodes that have ``id`` as a neighbour.
+    """``(id, sources, fresh)``: a sample of the nodes that have ``id`` as a neighbour.
 
     Popular nodes are thinned out in salted groups, none of which gathers all of them.
     """
@@ -171,7 +187,8 @@ def _reverse(graph: DataFrame) -> DataFrame:
     for group in (["id", F.pmod(F.xxhash64("source"), F.lit(_SALTS))], ["id"]):
         rank = F.row_number().over(Window.partitionBy(*group).orderBy(F.xxhash64("source", "id"), "source"))
         edges = edges.withColumn("rank", rank).where(F.col("rank") <= REVERSE).drop("rank")
-    return edges
+    lists = edges.groupBy("id").agg(F.collect_list(F.struct("source", "fresh")).alias("e"))
+    return lists.select("id", F.col("e.source").alias("sources"), F.col("e.fresh").alias("fresh"))
 
 
 def _message(df: DataFrame, **given: Column | str) -> DataFrame:
@@ -185,37 +202,34 @@ def _message(df: DataFrame, **given: Column | str) -> DataFrame:
     return df.select(*out)
 
 
-def _vectors_of(wanted: DataFrame, nodes: DataFrame, graph: DataFrame | None = None) -> DataFrame:
+def _vectors_of(wanted: DataFrame, nodes: DataFrame, **also: Column) -> DataFrame:
     """Messages with the vectors that parts asked for: ``wanted`` is (part, id), distinct."""
-    rows = nodes if graph is None else nodes.join(
-        graph.select("id", F.when(F.size("scores") >= NEIGHBOURS, F.element_at("scores", -1)).alias("least")), "id"
-    )
-    least = F.array(F.coalesce("least", F.lit(float("-inf")))) if graph is not None else None
-    return _message(wanted.join(rows, "id"), part="part", kind=F.lit(2), a="id", vec="vec", values=least)
+    return _message(wanted.join(nodes, "id"), part="part", kind=F.lit(2), a="id", vec="vec", **also)
 
 
 def _descend(graph: DataFrame, nodes: DataFrame, parts: int) -> DataFrame:
     """One iteration: the graph with all improvements that its neighbourhoods offer."""
     reverse = keep(_reverse(graph))
     forward = graph.select(_part("id", parts).alias("part"), F.explode("nbrs").alias("id"))
-    wanted = forward.unionAll(reverse.select(_part("id", parts).alias("part"), F.col("source").alias("id"))).distinct()
+    wanted = forward.unionAll(reverse.select(_part("id", parts).alias("part"), F.explode("sources").alias("id"))).distinct()
+    # With each vector goes the least score that would enter its node's list.
+    least = F.when(F.size("scores") >= NEIGHBOURS, F.element_at("scores", -1)).otherwise(F.lit(float("-inf")))
+    bounds = nodes.join(graph.select("id", least.alias("least")), "id")
     messages = (
         _message(graph, part=_part("id", parts), kind=F.lit(0), a="id", ids="nbrs", flags="fresh")
-        .unionAll(_message(reverse, part=_part("id", parts), kind=F.lit(1), a="id", b="source", flags=F.array("fresh")))
-        .unionAll(_vectors_of(wanted, nodes, graph))
+        .unionAll(_message(reverse, part=_part("id", parts), kind=F.lit(1), a="id", ids="sources", flags="fresh"))
+        .unionAll(_vectors_of(wanted, bounds, b=_part("id", parts), least=F.col("least")))
     )
 
     def compare(table: pa.Table) -> pa.Table:
         kind = table.column("kind").to_numpy()
-        own, back, met = (table.filter(pa.array(kind == k)) for k in (0, 1, 2))
+        listed, met = table.filter(pa.array(kind < 2)), table.filter(pa.array(kind == 2))
         ids = met.column("a").to_numpy()
         order = np.argsort(ids)
         ids, vectors = ids[order], _matrix(met.column("vec"))[order].astype(np.float32)
-        least = _flat(met.column("values"))[0][order]
-        dst, ends = _flat(own.column("ids"))
-        node = np.concatenate([np.repeat(own.column("a").to_numpy(), np.diff(ends)), back.column("a").to_numpy()])
-        nbr = np.concatenate([dst, back.column("b").to_numpy()]).astype(np.int64)
-        new = np.concatenate([_flat(own.column("flags"))[0], _flat(back.column("flags"))[0]]).astype(bool)
+        home, least = (met.column(c).to_numpy()[order] for c in ("b", "least"))
+        nbr, ends = _flat(listed.column("ids"))
+        node, new = np.repeat(listed.column("a").to_numpy(), np.diff(ends)), _flat(listed.column("flags"))[0].astype(bool)
         order = np.lexsort((~new, nbr, node))
         node, nbr, new = node[order], nbr[order], new[order]
         once = np.ones(len(node), bool)
@@ -245,13 +259,16 @@ def _descend(graph: DataFrame, nodes: DataFrame, parts: int) -> DataFrame:
                 held = sum(map(len, found[0]))
         settle()
         src, to, score = (x[0] for x in found)
-        src, *lists = _lists(ids[src], ids[to], score, np.ones(len(src), bool))
-        return pa.table([src, *lists], names=["id", "nbrs", "scores", "fresh"])
+        # One row to each part that owns some of the sources.
+        order = np.argsort(home[src], kind="stable")
+        to_part, *lists = _lists(home[src][order], ids[to][order], score[order], np.ones(len(src), bool))
+        sources = pa.ListArray.from_arrays(lists[0].offsets, pa.array(ids[src][order], pa.int64()))
+        return pa.table([to_part, pa.nulls(len(to_part), pa.int64()), sources, *lists], names=["part", "own", "src", "nbrs", "scores", "fresh"])
 
-    better = messages.groupBy("part").applyInArrow(compare, f"id bigint, {_LISTS}")
+    better = messages.groupBy("part").applyInArrow(compare, _BUNDLE)
     # What this iteration compared is not new any more.
     old = graph.select("id", "nbrs", "scores", F.transform("fresh", lambda x: F.lit(False)).alias("fresh"))
-    return _merge(old.unionAll(better), parts)
+    return _merge(_bundles(old, parts).unionAll(better))
 
 
 def build_graph(nodes: DataFrame) -> DataFrame:
@@ -262,7 +279,7 @@ def build_graph(nodes: DataFrame) -> DataFrame:
     lists = starts[0]
     for more in starts[1:]:
         lists = lists.unionAll(more)
-    graph = keep(_merge(lists, parts))
+    graph = keep(_merge(_bundles(lists, parts)))
     for _ in range(ITERATIONS if n > BLOCK else 0):
         graph = keep(_descend(graph, nodes, parts))
         fresh = graph.agg(F.avg(F.size(F.filter("fresh", lambda x: x)) / F.greatest(F.size("fresh"), F.lit(1)))).first()[0]
@@ -274,8 +291,8 @@ def build_graph(nodes: DataFrame) -> DataFrame:
 def search_graph(graph: DataFrame, nodes: DataFrame, queries: DataFrame) -> DataFrame:
     """``(query, ids, scores)``: the pool of every query node ``(id)`` after all rounds, nearest first."""
     links = keep(
-        graph.join(_reverse(graph).groupBy("id").agg(F.collect_list("source").alias("back")), "id", "left").select(
-            "id", F.array_union("nbrs", F.coalesce("back", F.array().cast("array<bigint>"))).alias("links")
+        graph.join(_reverse(graph).select("id", "sources"), "id", "left").select(
+            "id", F.array_union("nbrs", F.coalesce("sources", F.array().cast("array<bigint>"))).alias("links")
         )
     )
     parts = max(1, math.ceil(queries.count() / QUERY_PART))
