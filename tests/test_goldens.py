@@ -15,7 +15,7 @@ from tidewater.operators.skew import HotKeys
 from tidewater.plans import reports
 from tidewater.sources.decode import decode, undecodable
 
-NONE_HOT = HotKeys("order_id", ())
+NONE_HOT = HotKeys("order_id")
 
 
 def fact(spark, lines):

@@ -37,7 +37,7 @@ def test_shares_add_up(spark, facts):
         f"final_total_amount {money}, final_detail_amount {money}",
     )
     sums = {}
-    for r in wide.allocate_amount(df, HotKeys("order_id", ())).collect():
+    for r in wide.allocate_amount(df, HotKeys("order_id")).collect():
         sums[r.order_id] = sums.get(r.order_id, 0) + r.final_detail_amount
     assert sums == {i: D(final) / 100 for i, (final, _) in enumerate(facts)}
 

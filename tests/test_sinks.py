@@ -90,6 +90,7 @@ def test_stored_offsets(spark):
         "group_id string, topic string, partition_id int, topic_offset bigint",
     )
     assert source_topics.starting_offsets_json(offsets, "t", "g") == '{"t": {"0": 7, "1": 3}}'
+    assert source_topics.starting_offsets_json(offsets, "t", "g", 3) == '{"t": {"0": 7, "1": 3, "2": -1}}'
     assert source_topics.starting_offsets_json(offsets, "u", "g") == "latest"
 
 
@@ -100,6 +101,6 @@ def test_a_topic_needs_an_address(spark):
 
 def test_jdbc_options():
     assert jdbc.jdbc_write_options("jdbc:x", "t", driver="d") == {
-        "url": "jdbc:x", "dbtable": "t", "batchsize": "100", "isolationLevel": "NONE", "numPartitions": "4", "driver": "d",
+        "url": "jdbc:x", "dbtable": "t", "batchsize": "100", "isolationLevel": "NONE", "driver": "d",
     }
     assert stored.jdbc_query_options("jdbc:x", "SELECT 1") == {"url": "jdbc:x", "query": "SELECT 1"}

@@ -22,7 +22,7 @@ from tidewater.sources.topics import read_topic
 from tidewater.streaming import jobs
 
 LIMIT = 180  # seconds before a stream counts as stuck
-NONE_HOT = HotKeys("order_id", ())
+NONE_HOT = HotKeys("order_id")
 
 
 @pytest.fixture(scope="module", autouse=True)

@@ -1,11 +1,12 @@
 """Joins on a key that may hold a large part of all rows.
 
-The few keys that dominate a table are found first with a frequent-items
-sketch, one column wide and merged in two levels; at most ``MAX_HOT`` keys come
-back. When there are none, which is the usual case, joins and windows run
-plainly on the key. Otherwise rows of a hot key are dealt into slices of
-bounded size and the other side's row is repeated once per slice. Which keys
-count as hot changes only how work is spread, never the result.
+Keys of more than ``slice_rows`` rows are counted exactly first; counts combine
+before the shuffle, one row per key and task. The keys that are found, however
+many, stay a table that Spark joins as it sees fit. When there are none, which
+is the usual case, joins and windows run plainly on the key. Otherwise rows of
+a hot key are dealt into slices of bounded size and the other side's row is
+repeated once per slice. Which keys count as hot changes only how work is
+spread, never the result.
 """
 
 from __future__ import annotations
@@ -17,9 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SLICE_ROWS = 1_000_000
-MAX_HOT = 1000
-_TRACKED = 10_000
-_MERGERS = 256
 
 SLICE = "_slice"
 SLICES = "_slices"
@@ -27,46 +25,28 @@ SLICES = "_slices"
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Dominant keys of a table and the number of slices each is dealt into."""
+    """Dominant keys of a table and the number of slices each is dealt into; no table if there are none."""
 
     key: str
-    slices: tuple[tuple, ...]
+    table: DataFrame | None = None
 
     def __bool__(self) -> bool:
-        return bool(self.slices)
-
-    def table(self, like: DataFrame) -> DataFrame:
-        """The keys as a table typed like ``like``; at most ``MAX_HOT`` rows, so safe to broadcast."""
-        ddl = f"{self.key} {like.schema[self.key].dataType.simpleString()}, {SLICES} int"
-        return F.broadcast(like.sparkSession.createDataFrame(list(self.slices), ddl))
+        return self.table is not None
 
 
 def hot_keys(df: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> HotKeys:
-    """Keys of more than ``slice_rows`` rows. Reads only the key column of ``df``.
-
-    The key must be of a type the sketch takes (numbers, strings, dates).
-    """
-    sketches = (
-        df.select(key)
-        .where(F.col(key).isNotNull())
-        .withColumn("_merger", F.spark_partition_id() % _MERGERS)
-        .groupBy("_merger")
-        .agg(F.call_function("approx_top_k_accumulate", F.col(key), F.lit(_TRACKED)).alias("_sketch"))
-    )
-    # Grouped by a constant: an empty table has no sketch to merge.
-    whole = F.call_function("approx_top_k_combine", F.col("_sketch"), F.lit(_TRACKED)).alias("_all")
-    merged = sketches.groupBy(F.lit("all")).agg(whole)
-    top = merged.select(F.explode(F.call_function("approx_top_k_estimate", F.col("_all"), F.lit(MAX_HOT))).alias("_t"))
-    slices = F.ceil(F.col("_t.count") / slice_rows).cast("int")
-    hot = top.where(F.col("_t.count") > slice_rows).select("_t.item", slices).collect()
-    return HotKeys(key, tuple(tuple(row) for row in hot))
+    """Keys of more than ``slice_rows`` rows. Reads only the key column of ``df``, once and at once."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
+    hot = counts.where(F.col("_rows") > slice_rows)
+    table = hot.select(key, F.ceil(F.col("_rows") / slice_rows).cast("int").alias(SLICES)).persist()
+    return HotKeys(key, None if table.isEmpty() else table)
 
 
 def deal(df: DataFrame, hot: HotKeys, by: Sequence[str]) -> DataFrame:
     """Add ``_slices`` and ``_slice``; rows of a hot key are dealt by a hash of ``by``."""
     dealt = F.pmod(F.xxhash64(*by), F.col(SLICES))
     return (
-        df.join(hot.table(df), hot.key, "left")
+        df.join(hot.table, hot.key, "left")
         .withColumn(SLICES, F.coalesce(SLICES, F.lit(1)))
         .withColumn(SLICE, F.when(F.col(SLICES) > 1, dealt).otherwise(0).cast("int"))
     )
@@ -76,7 +56,7 @@ def repeat(df: DataFrame, hot: HotKeys) -> DataFrame:
     """Repeat a row of a hot key once per slice, numbered in ``_slice``."""
     last = F.coalesce(F.col(SLICES), F.lit(1)) - 1
     return (
-        df.join(hot.table(df), hot.key, "left")
+        df.join(hot.table, hot.key, "left")
         .withColumn(SLICE, F.explode(F.sequence(F.lit(0), last)))
         .withColumn(SLICES, last + 1)
     )

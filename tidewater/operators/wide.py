@@ -96,12 +96,13 @@ def allocate_amount(wide: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Fill ``final_detail_amount``: the order's paid amount split over its lines.
 
     A line gets paid total x price x number / original total, rounded to cents.
-    Once the lines add up to the order's original total, the line that completes
-    it (the last one with an amount) gets what the others leave, so the shares
-    add up exactly. Orders with lines missing have no completing line.
+    The line at which the amounts, summed in the order of line ids, reach the
+    original total gets what the lines before it leave. Orders whose running
+    amount never meets the total have no such line.
 
-    Sums per order run as a window over the partitioning of the join. Orders
-    dealt into slices get their slice sums added up, a row per hot order.
+    The sums run as a window over the partitioning of the join. Lines of an
+    order that dominates are dealt anew, by ranges of line ids, and each range
+    starts from the totals of those before it.
     """
     if hot is None and SLICE not in wide.columns:
         hot = hot_keys(wide, "order_id")
@@ -111,40 +112,56 @@ def allocate_amount(wide: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     paid, original = cents(F.col("final_total_amount")), cents(F.col("original_total_amount"))
     rows = wide.withColumn("_amount", cents(F.col("sku_price")) * F.col("sku_num")).withColumn(
         "_share", proportional_cents(paid, F.col("_amount"), original)
-    )
-    sums = {
-        "_amounts": F.sum("_amount"),
-        "_shares": F.sum("_share"),
-        "_last": F.max(F.when(F.col("_amount") > 0, F.col("order_detail_id"))),
-        "_least": F.min("order_detail_id"),
-    }
-    whole = {name: F.col(name) for name in sums}
-    keys = ["order_id", SLICE, SLICES] if SLICE in wide.columns else ["order_id"]
-    window = Window.partitionBy(*keys)
-    summed = rows.withColumns({name: total.over(window) for name, total in sums.items()})
+    ).withColumn("_line", F.lit(1))
     if SLICE in wide.columns:
-        hot_sums = rows.where(F.col(SLICES) > 1).groupBy("order_id")
-        hot_sums = hot_sums.agg(*[total.alias(f"{name}_all") for name, total in sums.items()])
-        # One row per hot order, at most MAX_HOT.
-        summed = summed.join(F.broadcast(hot_sums), "order_id", "left")
-        whole = {name: F.coalesce(F.col(f"{name}_all"), F.col(name)) for name in sums}
-    completes = (whole["_amounts"] == original) & (
-        F.col("order_detail_id") == F.coalesce(whole["_last"], whole["_least"])
-    )
-    share = F.when(completes, paid - whole["_shares"] + F.col("_share")).otherwise(F.col("_share"))
+        summed = _running(rows.where(F.col(SLICES) == 1), ["order_id", SLICE, SLICES]).drop(SLICE, SLICES)
+        summed = summed.unionByName(_running_by_range(rows.where(F.col(SLICES) > 1).drop(SLICE, SLICES)))
+    else:
+        summed = _running(rows, ["order_id"])
+    # Lines without an amount complete nothing, except the first of an order without a total.
+    completes = (F.col("_amount_so_far") == original) & ((F.col("_amount") > 0) | (F.col("_line_so_far") == 1))
+    share = F.when(completes, paid - F.col("_share_so_far") + F.col("_share")).otherwise(F.col("_share"))
     return summed.withColumn("final_detail_amount", money(share)).select(*out)
 
 
+_RUNNING = ("_amount", "_share", "_line")
+# Ranges of line ids that a dominant order is dealt into.
+_RANGES = 256
+
+
+def _running(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Running sums of amount, share and lines in the order of line ids."""
+    so_far = Window.partitionBy(*keys).orderBy("order_detail_id").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumns({f"{c}_so_far": F.sum(c).over(so_far) for c in _RUNNING})
+
+
+def _running_by_range(rows: DataFrame) -> DataFrame:
+    """The same for orders of very many lines: within ranges, then on top of the ranges before."""
+    fractions = F.array(*[F.lit(i / _RANGES) for i in range(1, _RANGES)])
+    bounds = rows.groupBy("order_id").agg(F.percentile_approx("order_detail_id", fractions).alias("_bounds"))
+    below = F.size(F.filter("_bounds", lambda b: b < F.col("order_detail_id")))
+    ranged = rows.join(bounds, "order_id").withColumn("_range", below).drop("_bounds")
+    totals = ranged.groupBy("order_id", "_range").agg(*[F.sum(c).alias(f"{c}_total") for c in _RUNNING])
+    before = Window.partitionBy("order_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(
+        "order_id", "_range", *[F.coalesce(F.sum(f"{c}_total").over(before), F.lit(0)).alias(f"{c}_before") for c in _RUNNING]
+    )
+    summed = _running(ranged, ["order_id", "_range"]).join(totals, ["order_id", "_range"])
+    whole = {f"{c}_so_far": F.col(f"{c}_so_far") + F.col(f"{c}_before") for c in _RUNNING}
+    return summed.withColumns(whole).drop("_range", *[f"{c}_before" for c in _RUNNING])
+
+
 def dedup_join(joined: DataFrame, arrival: str) -> DataFrame:
     """One row per order and line, the earliest arrived; redelivered lines collapse.
 
-    Copies are ranked within the join's partitioning. Where some order was dealt
+    Of equal arrivals the least in the remaining columns stays. Copies are ranked within the join's partitioning. Where some order was dealt
     into slices, copies of a line sit in several of them, so a minimum is taken
     instead; it combines before the shuffle, whatever the number of copies.
     """
     keys = ["order_id", "order_detail_id"]
     if SLICE not in joined.columns:
-        copy = F.row_number().over(Window.partitionBy(*keys).orderBy(arrival))
+        rest = [c for c in joined.columns if c not in keys and c != arrival]
+        copy = F.row_number().over(Window.partitionBy(*keys).orderBy(arrival, *rest))
         return joined.withColumn("_copy", copy).where(F.col("_copy") == 1).drop("_copy")
     out = [c for c in joined.columns if c not in (SLICE, SLICES)]
     first = F.min(F.struct(arrival, *[c for c in out if c not in keys and c != arrival])).alias("_first")

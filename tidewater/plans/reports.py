@@ -139,7 +139,7 @@ def sale_detail(
         "sku_name",
         F.col("tm_id").cast("string").alias("sku_tm_id"),
         "dt",
-    )
+    ).orderBy("dt", "order_id", "order_detail_id")  # the join need not keep the page's order
 
 
 def sale_detail_total(wide: DataFrame, date: str | None = None, keyword: str | None = None) -> DataFrame:

@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame
 
 
 def jdbc_write_options(
-    url: str, table: str, batch_size: int = 100, partitions: int = 4, isolation: str = "NONE", **extra: str
+    url: str, table: str, batch_size: int = 100, partitions: int | None = None, isolation: str = "NONE", **extra: str
 ) -> dict[str, str]:
+    """Options of the writer; ``partitions`` narrows the whole job to so many tasks, so it is unset by default."""
     return {
         "url": url,
         "dbtable": table,
         "batchsize": str(batch_size),
         "isolationLevel": isolation,
-        "numPartitions": str(partitions),
+        **({"numPartitions": str(partitions)} if partitions else {}),
         **extra,
     }
 

@@ -30,11 +30,13 @@ def kafka_source_options(
     return options
 
 
-def starting_offsets_json(offsets: DataFrame, topic: str, group: str) -> str:
+def starting_offsets_json(offsets: DataFrame, topic: str, group: str, partitions: int | None = None) -> str:
     """Resume position for ``startingOffsets`` from a stored offset table.
 
     The table holds ``group_id, topic, partition_id, topic_offset``; the rows of
-    one topic and group are as many as the topic has partitions.
+    one topic and group are as many as the topic has partitions. Kafka wants every
+    partition named: given the topic's number of ``partitions``, those that the
+    table lacks start at the latest offset.
     """
     rows = (
         offsets.where((F.col("topic") == topic) & (F.col("group_id") == group))
@@ -44,7 +46,8 @@ def starting_offsets_json(offsets: DataFrame, topic: str, group: str) -> str:
     )
     if not rows:
         return "latest"
-    return json.dumps({topic: {str(r.partition_id): int(r.topic_offset) for r in rows}}, sort_keys=True)
+    at = {str(p): -1 for p in range(partitions or 0)} | {str(r.partition_id): int(r.topic_offset) for r in rows}
+    return json.dumps({topic: at}, sort_keys=True)
 
 
 def read_topic(
