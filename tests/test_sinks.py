@@ -69,12 +69,19 @@ def test_dimension_deletes(spark):
 
 def test_topic_batch(spark, folder):
     df = spark.createDataFrame([(1, "x"), (2, None)], "id int, name string")
-    topics.write_topic_batch(topics.to_records(df, "T", "id", F.lit("2024-01-01")), 4, path=folder)
+    topics.write_topic_batch(topics.to_records(df, "T", "id", F.lit("2024-01-01")), 4, job="j", path=folder)
     assert rows(stored.read_table(spark, folder), "key", "value", "topic", "batch_id") == [
         ("1", '{"id":1,"name":"x"}', "T", 4), ("2", '{"id":2}', "T", 4),
     ]
 
 
+def test_two_jobs_share_a_folder(spark, folder):
+    for name in ("A", "B", "A"):  # the last repeats a batch
+        df = spark.createDataFrame([(1,)], "id int")
+        topics.write_topic_batch(topics.to_records(df, name, None, F.lit("2024-01-01")), 0, job=name, path=folder)
+    assert rows(stored.read_table(spark, folder), "topic", "job", "batch_id") == [("A", "A", 0), ("B", "B", 0)]
+
+
 def test_kafka_options():
     assert source_topics.kafka_source_options("h:9092", "t", "g", "earliest", 5) == {
         "kafka.bootstrap.servers": "h:9092", "subscribe": "t", "startingOffsets": "earliest",

@@ -82,7 +82,8 @@ def test_logs_to_daily_devices(spark, folder):
 
     expected = queries.queries()["dau_detail"](spark, SMALL)
     got = read_table(spark, index)
-    assert rows(got.withColumn("dt", F.col("dt").cast("string")), "mid", "dt") == rows(expected, "mid", "dt")
+    columns = schemas.names(schemas.DAU_INFO)
+    assert rows(got.withColumn("dt", F.col("dt").cast("string")), *columns) == rows(expected, *columns)
     batch_topics = routing.route_app_log(logs).groupBy("topic").count()
     sent_twice = routing.route_app_log(early.where("timestamp >= '2024-01-15'").drop("topic")).groupBy("topic").count()
     both = batch_topics.unionByName(sent_twice).groupBy("topic").agg(F.sum("count"))
@@ -145,6 +146,15 @@ def test_dimensions_follow_changes(spark, folder):
     ]
 
 
+def test_a_first_order_delivered_again_keeps_its_flag(spark):
+    state = spark.createDataFrame([("7", "1", 10), ("8", "1", None)], schemas.USER_STATE)
+    again = spark.createDataFrame(
+        [(10, 7, "2024-01-01"), (11, 7, "2024-01-02"), (12, 8, "2024-01-02"), (13, 9, "2024-01-02")],
+        "id bigint, user_id bigint, create_time string",
+    )
+    assert rows(orders.flag_first_order(again, state), "id", "if_first_order") == [(10, "1"), (11, "0"), (12, "0"), (13, "1")]
+
+
 def test_orders_keep_first_flag_over_batches(spark, folder):
     base = sample.order_info(spark, SMALL).persist()
     provinces, users = sample.base_province(spark, SMALL), queries._users(spark, SMALL)

@@ -31,9 +31,12 @@ def first_orders(orders: DataFrame, state: DataFrame) -> DataFrame:
 def flag_first_order(orders: DataFrame, state: DataFrame) -> DataFrame:
     """Add ``if_first_order``: ``1`` on a user's earliest order when ``state`` does not know the user.
 
+    The order that ``state`` names as a user's first has it again when it is delivered again.
     The flag comes back over the order id, which is unique, not over the user.
     """
+    stored = state.where(F.col("if_consumed") == "1").select(F.col("first_order_id").alias("_first_id"))
     first = first_orders(orders, state).select(F.col("first_order_id").alias("_first_id"))
+    first = first.unionAll(stored.where("_first_id is not null")).distinct()
     flag = F.when(F.col("_first_id").isNotNull(), "1").otherwise("0")
     return (
         orders.join(first, F.col("id") == F.col("_first_id"), "left")

@@ -204,17 +204,20 @@ def unmatched_users(spark: SparkSession, sf: str) -> DataFrame:
 _PAIR = ["order_id", "order_detail_id", "user_id", "sku_id", "sku_num", "dt"]
 
 
+def _arriving(spark: SparkSession, sf: str) -> DataFrame:
+    """Order heads with their arrival and no looked-up attributes."""
+    return sample.with_order_arrival(orders.derive_order_time(sample.order_info(spark, sf)))
+
+
 def order_join_window(spark: SparkSession, sf: str) -> DataFrame:
-    heads = sample.with_order_arrival(_orders(spark, sf))
-    hot = _hot(spark, sf)
-    lines = sample.with_detail_arrival(_details(spark, sf, hot), 4)
+    heads, hot = _arriving(spark, sf), _hot(spark, sf)
+    lines = sample.with_detail_arrival(sample.order_detail(spark, sf, hot), 4)
     return wide.join_orders_window(heads, lines, hot).select(*_PAIR)
 
 
 def order_join_cache(spark: SparkSession, sf: str) -> DataFrame:
-    heads = sample.with_order_arrival(_orders(spark, sf))
-    hot = _hot(spark, sf)
-    lines = sample.with_detail_arrival(_details(spark, sf, hot), 140)
+    heads, hot = _arriving(spark, sf), _hot(spark, sf)
+    lines = sample.with_detail_arrival(sample.order_detail(spark, sf, hot), 140)
     return wide.join_orders_cache(heads, lines, hot=hot).select(*_PAIR)
 
 

@@ -16,13 +16,13 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidewater import schemas
 from tidewater.operators import dims, orders, routing, trademark
-from tidewater.operators.dau import to_dau_info
+from tidewater.operators.dau import dedup_daily, to_dau_info
 from tidewater.operators.wide import STATE_TTL_SECONDS, WINDOW_SECONDS
 from tidewater.sinks.tables import read_latest, upsert_by_key, write_once
 from tidewater.sinks.topics import to_records, write_topic_batch, write_topic_stream
 from tidewater.sources.decode import decode
 from tidewater.sources.tables import read_table
-from tidewater.streaming.state import allocate_stream, dedup_daily_stream, join_orders_stream
+from tidewater.streaming.state import allocate_stream, join_orders_stream
 
 INTERVAL = "5 seconds"
 
@@ -136,7 +136,7 @@ def enrich_orders(rows: DataFrame, sink: Sink, state: str, provinces: str, users
                 keep=("timestamp",),
             )
             records = to_records(wide, ORDER_TOPIC, "id", F.col("timestamp"))
-            write_topic_batch(records, batch_id, **sink)
+            write_topic_batch(records, batch_id, job=ORDER_TOPIC, **sink)
             write_once(orders.new_user_state(batch, known), state, batch_id)
         finally:
             batch.unpersist()
@@ -152,7 +152,7 @@ def enrich_details(rows: DataFrame, sink: Sink, skus: str) -> DataStreamWriter:
         if not batch.isEmpty():
             wide = orders.join_sku(batch, read_dim(batch.sparkSession, skus, schemas.SKU_DIM, "id"))
             records = to_records(wide, DETAIL_TOPIC, timestamp=F.col("timestamp"))
-            write_topic_batch(records, batch_id, **sink)
+            write_topic_batch(records, batch_id, job=DETAIL_TOPIC, **sink)
 
     return decoded.writeStream.foreachBatch(enrich)
 
@@ -181,7 +181,7 @@ def build_order_wide(
                 return
             write_once(batch.select(*schemas.names(schemas.ORDER_WIDE)), fact, batch_id, ["dt"])
             records = to_records(batch, WIDE_TOPIC, timestamp=F.col("arrival"))
-            write_topic_batch(records, batch_id, **sink)
+            write_topic_batch(records, batch_id, job=WIDE_TOPIC, **sink)
         finally:
             batch.unpersist()
 
@@ -208,11 +208,25 @@ def sum_trademarks(wide_records: DataFrame, path: str, bucket: str = INTERVAL) -
 
 
 def index_active_devices(start_logs: DataFrame, path: str, zone: str = "UTC") -> DataStreamWriter:
-    """First start-up per device and day into a table by day."""
-    devices = dedup_daily_stream(to_dau_info(decode(start_logs, schemas.START_LOG), zone))
+    """First start-up per device and day into a table by day.
+
+    A batch adds its earliest row of every device that no earlier batch has stored for
+    that day. Days never close, so a late row is not lost. The join reads only the days
+    from the batch's first to its last.
+    """
+    devices = to_dau_info(decode(start_logs, schemas.START_LOG), zone)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            write_once(batch, path, batch_id, ["dt"])
+        if batch.isEmpty():
+            return
+        batch = batch.persist()
+        try:
+            days = batch.agg(F.min("dt").alias("first"), F.max("dt").alias("last")).first()
+            stored = read_table(batch.sparkSession, path, f"{schemas.DAU_INFO}, batch_id bigint")
+            known = stored.where(F.col("batch_id") < batch_id).select("mid", F.col("dt").cast("string").alias("dt"))
+            known = known.where(F.col("dt").between(days["first"], days["last"]))
+            write_once(dedup_daily(batch).join(known, ["mid", "dt"], "left_anti"), path, batch_id, ["dt"])
+        finally:
+            batch.unpersist()
 
-    return devices.writeStream.outputMode("append").foreachBatch(store)
+    return devices.writeStream.foreachBatch(store)

@@ -1,4 +1,4 @@
-"""Stream forms of the stateful steps: daily dedup, order/line join, running allocation."""
+"""Stream forms of the stateful steps: order/line join, running allocation."""
 
 from __future__ import annotations
 
@@ -15,28 +15,6 @@ from tidewater import schemas
 from tidewater.functions.money import cents, money, proportional_cents
 from tidewater.operators.wide import DETAIL_COLUMNS, ORDER_COLUMNS, STATE_TTL_SECONDS, to_order_wide
 
-# A day stays open this long past the newest day seen; later rows of it are dropped.
-DAY_DELAY = "2 days"
-# A device's rows of a day first meet in this many groups, then in one.
-DEDUP_SPREAD = 8
-
-
-def dedup_daily_stream(dau: DataFrame, delay: str = DAY_DELAY, spread: int = DEDUP_SPREAD) -> DataFrame:
-    """First arrival per device and day; state of a day is freed once the watermark passes it.
-
-    Two steps keep a device with very many logs from landing in one task: only
-    ``spread`` of its rows per day reach the second step. Rows behind the
-    watermark are counted by the query as ``numRowsDroppedByWatermark``.
-    """
-    timed = dau.withColumns(
-        {
-            "day": F.to_timestamp("dt", "yyyy-MM-dd"),
-            "_group": F.pmod(F.xxhash64("ts", "uid", "ch", "vc"), F.lit(spread)),
-        }
-    ).withWatermark("day", delay)
-    once = timed.dropDuplicates(["mid", "day", "_group"]).dropDuplicates(["mid", "day"])
-    return once.select(*schemas.names(schemas.DAU_INFO))
-
 
 def join_orders_stream(orders: DataFrame, details: DataFrame, within: str, delay: str | None = None) -> DataFrame:
     """Order fact rows whose order and line arrive less than ``within`` apart, each line once.
