@@ -18,10 +18,10 @@ dau AS (
 
 _SKU = """
 sku AS (
-  SELECT CAST(p_partkey AS VARCHAR) AS id, CAST(('0x' || substr(md5(p_name), 1, 8))::BIGINT AS VARCHAR) AS spu_id,
+  SELECT CAST(p_partkey AS VARCHAR) AS id, CAST(('0x' || substr(md5(p_name), 1, 15))::BIGINT AS VARCHAR) AS spu_id,
          CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) AS price, p_name AS sku_name,
          split_part(p_brand, '#', 2) AS tm_id,
-         CAST(('0x' || substr(md5(p_type), 1, 8))::BIGINT AS VARCHAR) AS category3_id, '2024-01-01' AS create_time,
+         CAST(('0x' || substr(md5(p_type), 1, 15))::BIGINT AS VARCHAR) AS category3_id, '2024-01-01' AS create_time,
          p_type AS category3_name, p_name AS spu_name, p_brand AS tm_name,
          p_partkey, CAST(round(p_retailprice * 100) AS BIGINT) AS price_cents
   FROM part)"""
@@ -107,6 +107,13 @@ split AS (
   FROM running)"""
 )
 
+# Totals that miss a line or name one too many.
+_PARTIAL = _SHARES.replace(
+    "CAST(sum(amount) AS BIGINT) AS original_cents",
+    """CAST(sum(amount) + CASE order_id % 3 WHEN 0 THEN 100 WHEN 1 THEN -arg_max(amount, id) ELSE 0 END AS BIGINT)
+                AS original_cents""",
+)
+
 _STAT = (
     _SHARES
     + """,
@@ -264,6 +271,10 @@ SELECT count(*) AS unmatched FROM orders WHERE o_custkey NOT IN (SELECT c_custke
                    {_amount('original_cents')} AS original_total_amount, {_amount('paid_cents')} AS final_detail_amount
             FROM split""",
     )
+    split = f"""SELECT order_id, order_detail_id, {_amount('original_cents')} AS original_total_amount,
+                       {_amount('paid_cents')} AS final_detail_amount FROM split"""
+    sql["order_split_partial"] = _with(_PARTIAL, split)
+    sql["order_split_sliced"] = _with(_PARTIAL, split)
     sql["trademark_batch_stat"] = _with(
         _STAT, f"SELECT stat_date, stat_time, tm_id, tm_name, {_amount('cents')} AS amount FROM stat"
     )
@@ -275,6 +286,32 @@ SELECT count(*) AS unmatched FROM orders WHERE o_custkey NOT IN (SELECT c_custke
     hourly = f"SELECT create_date AS dt, create_hour AS hr, {_amount('sum(paid_cents)')} AS %s FROM split GROUP BY 1, 2"
     sql["order_hour"] = _with(_SHARES, hourly % "amount")
     sql["order_hour_compare"] = _with(_SHARES, _hour_compare(hourly % "value", "0"))
+    sql["dau_total_day"] = _with(_LOGS, "SELECT '2024-01-15' AS dt, count(*) AS total FROM dau WHERE dt = '2024-01-15'")
+    sql["order_total_day"] = _with(
+        _SHARES,
+        f"""SELECT '1996-09-17' AS dt, coalesce({_amount('sum(paid_cents)')}, 0) AS amount
+            FROM split WHERE create_date = '1996-09-17'""",
+    )
+    sql["order_hour_day"] = _with(
+        _SHARES,
+        f"""SELECT create_date AS dt, create_hour AS hr, {_amount('sum(paid_cents)')} AS amount
+            FROM split WHERE create_date = '1996-09-17' GROUP BY 1, 2""",
+    )
+    sql["hour_compare_day"] = _with(
+        _SHARES,
+        f""", hourly AS ({hourly % "value"})
+SELECT '1996-09-17' AS dt, lpad(CAST(h.h AS VARCHAR), 2, '0') AS hr, coalesce(t.value, 0) AS today,
+       coalesce(y.value, 0) AS yesterday
+FROM range(24) AS h(h)
+LEFT JOIN hourly t ON t.dt = '1996-09-17' AND CAST(t.hr AS INTEGER) = h.h
+LEFT JOIN hourly y ON y.dt = '1996-09-16' AND CAST(y.hr AS INTEGER) = h.h""",
+    )
+    sql["trademark_topn_range"] = _with(
+        _STAT,
+        f"""SELECT tm_id, tm_name, {_amount('sum(cents)')} AS amount FROM stat
+            WHERE stat_date BETWEEN '1996-07-01' AND '1996-12-31'
+            GROUP BY tm_id, tm_name ORDER BY sum(cents) DESC, tm_id LIMIT 5""",
+    )
     sql["realtime_total"] = _with(
         _LOGS + "," + _SHARES,
         f""", days AS (

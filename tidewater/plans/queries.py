@@ -21,6 +21,12 @@ BATCH_SECONDS = 5
 SEARCH_WORD = "red"
 SEARCH_SIZE = 20
 SEARCH_FROM = 5
+# Day and range of the reports that answer for some days only.
+LOG_DAY = "2024-01-15"
+ORDER_DAY, DAY_BEFORE = "1996-09-17", "1996-09-16"
+SALES_FROM, SALES_TO = "1996-07-01", "1996-12-31"
+# Lines from which ``order_split_sliced`` counts an order as dominant.
+FEW_LINES = 4
 
 
 def _doubles(df: DataFrame) -> DataFrame:
@@ -36,8 +42,8 @@ def _doubles(df: DataFrame) -> DataFrame:
 # --- building blocks --------------------------------------------------------
 
 
-def _dau(spark: SparkSession, sf: str) -> DataFrame:
-    starts = routing.route_app_log(sample.app_logs(spark, sf)).where(F.col("topic") == routing.START_TOPIC)
+def _dau(spark: SparkSession, sf: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    starts = routing.route_app_log(sample.app_logs(spark, sf, start, end)).where(F.col("topic") == routing.START_TOPIC)
     return dau_ops.dedup_daily(dau_ops.to_dau_info(decode(starts, schemas.START_LOG)))
 
 
@@ -67,23 +73,38 @@ def _wide(heads: DataFrame, lines: DataFrame, hot: HotKeys) -> DataFrame:
     return wide.to_order_wide(wide.join_order_detail(heads, lines, hot))
 
 
-def _allocated(spark: SparkSession, sf: str, lines: DataFrame, hot: HotKeys) -> DataFrame:
+def _allocated(
+    spark: SparkSession, sf: str, lines: DataFrame, hot: HotKeys, start: str | None = None, end: str | None = None
+) -> DataFrame:
     """Allocated lines with the order's calendar fields and no further order attributes."""
-    heads = orders.derive_order_time(sample.order_info(spark, sf))
+    heads = orders.derive_order_time(sample.order_info(spark, sf, start, end))
     return wide.allocate_amount(_wide(heads, lines, hot), hot)
 
 
-def _paid(spark: SparkSession, sf: str) -> DataFrame:
+def _paid(spark: SparkSession, sf: str, start: str | None = None, end: str | None = None) -> DataFrame:
     hot = _hot(spark, sf)
-    return _allocated(spark, sf, sample.order_detail(spark, sf, hot), hot)
+    return _allocated(spark, sf, sample.order_detail(spark, sf, hot), hot, start, end)
+
+
+def _partly_paid(spark: SparkSession, sf: str, hot: HotKeys) -> DataFrame:
+    """Allocated lines under stated totals that are 1.00 too large, lack the last line, or are right, in turn."""
+    lines = sample.order_detail(spark, sf, hot)
+    last = lines.groupBy("order_id").agg(F.max_by(F.col("order_price") * F.col("sku_num"), "id").alias("_last"))
+    turn, total = F.col("id") % 3, F.col("original_total_amount")
+    stated = F.when(turn == 0, total + 1).when(turn == 1, total - F.col("_last")).otherwise(total)
+    heads = orders.derive_order_time(sample.order_info(spark, sf)).join(last, F.col("id") == F.col("order_id"), "left")
+    heads = heads.withColumn("original_total_amount", stated.cast(schemas.MONEY)).drop("_last", "order_id")
+    return wide.allocate_amount(_wide(heads, lines, hot), hot).select(
+        "order_id", "order_detail_id", "original_total_amount", "final_detail_amount"
+    )
 
 
-def _stat(spark: SparkSession, sf: str) -> DataFrame:
+def _stat(spark: SparkSession, sf: str, start: str | None = None, end: str | None = None) -> DataFrame:
     created = epoch_seconds(parse_time(F.col("create_time")))
     bucket = F.floor(created / BATCH_SECONDS) * BATCH_SECONDS
     clock = text_time(parse_time(F.lit("1970-01-01")) + F.make_dt_interval(secs=bucket.cast("decimal(18,6)")))
     hot = _hot(spark, sf)
-    return trademark.trademark_batch_stat(_allocated(spark, sf, _details(spark, sf, hot), hot), clock)
+    return trademark.trademark_batch_stat(_allocated(spark, sf, _details(spark, sf, hot), hot, start, end), clock)
 
 
 def _sales(spark: SparkSession, sf: str) -> DataFrame:
@@ -114,6 +135,10 @@ def dau_total(spark: SparkSession, sf: str) -> DataFrame:
     return dau_ops.dau_total(_dau(spark, sf))
 
 
+def dau_total_day(spark: SparkSession, sf: str) -> DataFrame:
+    return dau_ops.dau_total(_dau(spark, sf, LOG_DAY, LOG_DAY), LOG_DAY)
+
+
 def dau_hour(spark: SparkSession, sf: str) -> DataFrame:
     return dau_ops.dau_hour(_dau(spark, sf))
 
@@ -233,6 +258,15 @@ def order_split(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def order_split_partial(spark: SparkSession, sf: str) -> DataFrame:
+    return _partly_paid(spark, sf, _hot(spark, sf))
+
+
+def order_split_sliced(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by the way that dominant orders take."""
+    return _partly_paid(spark, sf, hot_keys(sample.order_detail_keys(spark, sf), "order_id", FEW_LINES))
+
+
 def trademark_batch_stat(spark: SparkSession, sf: str) -> DataFrame:
     return _stat(spark, sf)
 
@@ -241,6 +275,10 @@ def trademark_topn(spark: SparkSession, sf: str) -> DataFrame:
     return trademark.trademark_topn(_stat(spark, sf))
 
 
+def trademark_topn_range(spark: SparkSession, sf: str) -> DataFrame:
+    return trademark.trademark_topn(_stat(spark, sf, SALES_FROM, SALES_TO), SALES_FROM, SALES_TO)
+
+
 def datav_trademark(spark: SparkSession, sf: str) -> DataFrame:
     return trademark.to_datav(trademark.trademark_topn(_stat(spark, sf)))
 
@@ -249,6 +287,19 @@ def order_total(spark: SparkSession, sf: str) -> DataFrame:
     return reports.order_total(_paid(spark, sf))
 
 
+def order_total_day(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.order_total(_paid(spark, sf, ORDER_DAY, ORDER_DAY), ORDER_DAY)
+
+
+def order_hour_day(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.order_hour(_paid(spark, sf, ORDER_DAY, ORDER_DAY), ORDER_DAY)
+
+
+def hour_compare_day(spark: SparkSession, sf: str) -> DataFrame:
+    hourly = reports.order_hour(_paid(spark, sf, DAY_BEFORE, ORDER_DAY))
+    return reports.hour_compare(hourly, "amount", ORDER_DAY)
+
+
 def order_hour(spark: SparkSession, sf: str) -> DataFrame:
     return reports.order_hour(_paid(spark, sf))
 
@@ -298,6 +349,7 @@ _QUERIES = [
     raw_log_archive_counts,
     dau_detail,
     dau_total,
+    dau_total_day,
     dau_hour,
     dau_hour_compare,
     cdc_object_route,
@@ -318,12 +370,18 @@ _QUERIES = [
     order_join_cache,
     order_wide,
     order_split,
+    order_split_partial,
+    order_split_sliced,
     trademark_batch_stat,
     trademark_topn,
+    trademark_topn_range,
     datav_trademark,
     order_total,
+    order_total_day,
     order_hour,
+    order_hour_day,
     order_hour_compare,
+    hour_compare_day,
     realtime_total,
     search_page,
     sale_detail,

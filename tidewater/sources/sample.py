@@ -46,8 +46,8 @@ def _price(column: str) -> Column:
 
 
 def _text_id(text: Column) -> Column:
-    """A number for a name: the first eight hex digits of its MD5."""
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10)
+    """A number for a name: the first fifteen hex digits of its MD5, as many as a bigint holds."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10)
 
 
 def _create_time() -> Column:
@@ -60,9 +60,18 @@ def _create_time() -> Column:
 # --- logs -------------------------------------------------------------------
 
 
-def app_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw log lines, with ``dt`` of the line for the archive."""
-    e = table(spark, sf_dir, "events")
+def _days(rows: DataFrame, at: str, start: str | None, end: str | None) -> DataFrame:
+    """Rows whose time ``at`` lies on one of the days ``start`` to ``end``, compared with constants the scan can take."""
+    if start is not None:
+        rows = rows.where(F.col(at) >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        rows = rows.where(F.col(at) < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp_ntz"))
+    return rows
+
+
+def app_logs(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Raw log lines of a range of days, all when open, with ``dt`` of the line for the archive."""
+    e = _days(table(spark, sf_dir, "events"), "ts", start, end)
     common = F.struct(
         F.concat(F.lit("mid_"), F.col("user_id")).alias("mid"),
         F.col("user_id").cast("string").alias("uid"),
@@ -193,8 +202,11 @@ def order_detail_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("order_id"))
 
 
-def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order heads; the original total is the sum of the order's line amounts."""
+def order_info(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Order heads; the original total is the sum of the order's line amounts.
+
+    ``start`` and ``end`` bound the order date, on which the order is created too: the added clock stays below a day.
+    """
     part = table(spark, sf_dir, "part").select("p_partkey", _price("p_retailprice").alias("_price"))
     totals = (
         table(spark, sf_dir, "lineitem")
@@ -204,7 +216,7 @@ def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     customer = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").cast("bigint"))
     return (
-        table(spark, sf_dir, "orders")
+        _days(table(spark, sf_dir, "orders"), "o_orderdate", start, end)
         .join(totals, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
         .select(
