@@ -39,6 +39,16 @@ def test_upsert_keeps_the_latest(spark, folder):
     assert rows(tables.read_latest(spark, f"{folder}-compact", ["id"], ROW)) == [("a", "newest", 1), ("b", "b", 1)]
 
 
+def test_runs_number_their_own_batches(spark, folder):
+    for run, batch, at in (("a", 0, 1), ("a", 1, 3), ("b", 0, 2), ("b", 0, 2)):  # the last repeats a batch
+        tables.upsert_by_key(versions(spark, [("k", run, at), (run, run, at)]), folder, batch, ["id"], ["at"], run=run)
+    every = stored.read_table(spark, folder)
+    assert every.count() == 6
+    assert rows(tables.before(every, 1, "a"), "id", "run") == [("a", "a"), ("b", "b"), ("k", "a"), ("k", "b")]
+    # Between runs the change time decides, not the batch number.
+    assert rows(tables.read_latest(spark, folder, ["id"], ROW, ["at"])) == [("a", "a", 3), ("b", "b", 2), ("k", "a", 3)]
+
+
 def test_absent_table_reads_empty_with_a_schema_only(spark, folder):
     assert stored.read_table(spark, f"{folder}/none", ROW).count() == 0
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):

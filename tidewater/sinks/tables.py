@@ -1,8 +1,10 @@
 """Tables that grow by whole batches.
 
 Every micro-batch owns the folder ``batch_id=<n>`` of its table and replaces it
-as a whole, so a repeated batch leaves the same rows. Upserts append the new
-versions of a row; readers keep the latest version per key.
+as a whole, so a repeated batch leaves the same rows. Batches of a stream lie in
+the folder ``run=<id>`` of their checkpoint, so a job that starts anew with a fresh
+checkpoint, and numbers from 0 again, adds rows and replaces none. Upserts append the
+new versions of a row; readers keep the latest version per key.
 """
 
 from __future__ import annotations
@@ -15,10 +17,30 @@ from pyspark.sql import functions as F
 from tidewater.sources.tables import read_table
 
 BATCH = "batch_id"
+RUN = "run"
 
 
-def write_once(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
-    """Write one batch so that writing it again changes nothing."""
+def run_of(batch: DataFrame) -> str:
+    """The id that the running query's checkpoint keeps; inside ``foreachBatch`` only."""
+    run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not run:
+        raise ValueError("not inside a batch of a stream")
+    return run
+
+
+def before(stored: DataFrame, batch_id: int, run: str | None = None) -> DataFrame:
+    """Rows of earlier batches of the run, and all of other runs."""
+    earlier = F.col(BATCH) < batch_id
+    if run is not None and RUN in stored.columns:
+        earlier = earlier | (F.col(RUN) != run)
+    return stored.where(earlier)
+
+
+def write_once(
+    df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = (), run: str | None = None
+) -> None:
+    """Write one batch, of a run if named, so that writing it again changes nothing."""
+    path = path if run is None else f"{path}/{RUN}={run}"
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -47,10 +69,11 @@ def upsert_by_key(
     keys: Sequence[str],
     order_by: Sequence[str] = (),
     partition_by: Sequence[str] = (),
+    run: str | None = None,
 ) -> None:
     """Store the batch's latest version of each key; read back with :func:`read_latest`."""
     rows = latest_by_key(df, keys, order_by or [c for c in df.columns if c not in keys])
-    write_once(rows, path, batch_id, partition_by)
+    write_once(rows, path, batch_id, partition_by, run)
 
 
 def read_latest(
@@ -61,11 +84,16 @@ def read_latest(
     order_by: Sequence[str] = (),
     before_batch: int | None = None,
 ) -> DataFrame:
-    """Current rows of an upserted table, or those as they were before a batch."""
+    """Current rows of an upserted table, or those as they were before a batch.
+
+    The later batch wins. Batch numbers of several runs do not compare, so with runs
+    the later in ``order_by`` wins, and of equal ones the later batch.
+    """
     stored = read_table(spark, path, f"{ddl}, {BATCH} bigint")
     if before_batch is not None:
-        stored = stored.where(F.col(BATCH) < before_batch)
-    return latest_by_key(stored, keys, [BATCH, *order_by]).drop(BATCH)
+        stored = before(stored, before_batch)
+    order = [*order_by, BATCH] if RUN in stored.columns else [BATCH, *order_by]
+    return latest_by_key(stored, keys, order).drop(BATCH, RUN)
 
 
 def compact(

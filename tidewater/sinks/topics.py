@@ -27,18 +27,26 @@ def kafka_sink_options(bootstrap: str) -> dict[str, str]:
 
 
 def write_topic_batch(
-    records: DataFrame, batch_id: int, *, job: str, bootstrap: str | None = None, path: str | None = None
+    records: DataFrame,
+    batch_id: int,
+    *,
+    job: str,
+    run: str | None = None,
+    bootstrap: str | None = None,
+    path: str | None = None,
 ) -> None:
     """Send one batch of records; each row's ``topic`` column picks its topic.
 
-    In a folder every ``job`` numbers its own batches, so several may write to one folder.
+    In a folder every ``job``, and every ``run`` of it, numbers its own batches, so several
+    may write to one folder. A batch sent again gets new file names: table readers see its
+    rows once, a stream that had read the old files reads them again.
     """
     if bootstrap:
         records.select("key", "value", "topic").write.format("kafka").options(
             **kafka_sink_options(bootstrap)
         ).save()
     else:
-        write_once(records, f"{path}/job={job}", batch_id, ["topic"])
+        write_once(records, f"{path}/job={job}", batch_id, ["topic"], run)
 
 
 def write_topic_stream(

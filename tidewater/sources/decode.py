@@ -29,8 +29,8 @@ def decode(df: DataFrame, ddl: str, column: str = "value", keep: tuple[str, ...]
     return _parsed(present, ddl, column, keep).where(F.col(_BAD).isNull()).drop(_BAD)
 
 
-def undecodable(df: DataFrame, ddl: str, column: str = "value") -> DataFrame:
+def undecodable(df: DataFrame, ddl: str, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """The values :func:`decode` leaves out."""
     value = F.col(column).alias("_value")
-    rows = _parsed(df.withColumn("_value", value), ddl, column, ("_value",))
-    return rows.where(F.col("_value").isNull() | F.col(_BAD).isNotNull()).select(F.col("_value").alias(column))
+    rows = _parsed(df.withColumn("_value", value), ddl, column, ("_value", *keep))
+    return rows.where(F.col("_value").isNull() | F.col(_BAD).isNotNull()).select(F.col("_value").alias(column), *keep)

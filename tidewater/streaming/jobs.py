@@ -2,8 +2,8 @@
 
 Every job takes streams of ``key, value, timestamp`` records and returns a
 started query. Progress lives in the checkpoint; jobs that write several
-outputs or keep a state table do so per batch, addressed by batch number, so a
-repeated batch leaves the same rows.
+outputs or keep a state table do so per batch, addressed by the checkpoint's id and
+batch number, so a repeated batch leaves the same rows and a fresh checkpoint adds its own.
 """
 
 from __future__ import annotations
@@ -18,14 +18,15 @@ from tidewater import schemas
 from tidewater.operators import dims, orders, routing, trademark
 from tidewater.operators.dau import dedup_daily, to_dau_info
 from tidewater.operators.wide import STATE_TTL_SECONDS, WINDOW_SECONDS
-from tidewater.sinks.tables import read_latest, upsert_by_key, write_once
+from tidewater.sinks.tables import before, read_latest, run_of, upsert_by_key, write_once
 from tidewater.sinks.topics import to_records, write_topic_batch, write_topic_stream
-from tidewater.sources.decode import decode
+from tidewater.sources.decode import decode, undecodable
 from tidewater.sources.tables import read_table
 from tidewater.streaming.state import allocate_stream, join_orders_stream
 
 INTERVAL = "5 seconds"
 
+# Topics that other systems read.
 ORDER_TOPIC = "DWD_ORDER_INFO"
 DETAIL_TOPIC = "DWD_ORDER_DETAIL"
 WIDE_TOPIC = "DWS_ORDER_WIDE"
@@ -44,6 +45,15 @@ def run(writer: DataStreamWriter, name: str, checkpoint: str, available_now: boo
 # --- ingest -----------------------------------------------------------------
 
 
+def keep_undecodable(records: DataFrame, ddl: str, path: str) -> DataStreamWriter:
+    """Records that the job reading this topic as ``ddl`` leaves out, with their time, as a table.
+
+    Runs beside that job, with its own checkpoint.
+    """
+    bad = undecodable(records, ddl, keep=("timestamp",))
+    return bad.writeStream.format("parquet").option("path", path)
+
+
 def route_logs(logs: DataFrame, sink: Sink) -> DataStreamWriter:
     """App logs to the start-up and event topics."""
     return write_topic_stream(routing.route_app_log(logs), **sink)
@@ -80,7 +90,7 @@ def maintain_dim(
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            upsert_by_key(derive(batch), path, batch_id, [key], [CHANGED])
+            upsert_by_key(derive(batch), path, batch_id, [key], [CHANGED], run=run_of(batch))
 
     return decoded.writeStream.foreachBatch(upsert)
 
@@ -126,8 +136,9 @@ def enrich_orders(rows: DataFrame, sink: Sink, state: str, provinces: str, users
         spark = batch.sparkSession
         batch = batch.persist()
         try:
+            run = run_of(batch)
             stored = read_table(spark, state, f"{schemas.USER_STATE}, batch_id bigint")
-            known = stored.where(F.col("batch_id") < batch_id).drop("batch_id")
+            known = before(stored, batch_id, run).drop("batch_id", "run")
             wide = orders.order_info_wide(
                 batch,
                 known,
@@ -136,8 +147,8 @@ def enrich_orders(rows: DataFrame, sink: Sink, state: str, provinces: str, users
                 keep=("timestamp",),
             )
             records = to_records(wide, ORDER_TOPIC, "id", F.col("timestamp"))
-            write_topic_batch(records, batch_id, job=ORDER_TOPIC, **sink)
-            write_once(orders.new_user_state(batch, known), state, batch_id)
+            write_topic_batch(records, batch_id, job=ORDER_TOPIC, run=run, **sink)
+            write_once(orders.new_user_state(batch, known), state, batch_id, run=run)
         finally:
             batch.unpersist()
 
@@ -152,7 +163,7 @@ def enrich_details(rows: DataFrame, sink: Sink, skus: str) -> DataStreamWriter:
         if not batch.isEmpty():
             wide = orders.join_sku(batch, read_dim(batch.sparkSession, skus, schemas.SKU_DIM, "id"))
             records = to_records(wide, DETAIL_TOPIC, timestamp=F.col("timestamp"))
-            write_topic_batch(records, batch_id, job=DETAIL_TOPIC, **sink)
+            write_topic_batch(records, batch_id, job=DETAIL_TOPIC, run=run_of(batch), **sink)
 
     return decoded.writeStream.foreachBatch(enrich)
 
@@ -179,9 +190,10 @@ def build_order_wide(
         try:
             if batch.isEmpty():
                 return
-            write_once(batch.select(*schemas.names(schemas.ORDER_WIDE)), fact, batch_id, ["dt"])
+            run = run_of(batch)
+            write_once(batch.select(*schemas.names(schemas.ORDER_WIDE)), fact, batch_id, ["dt"], run)
             records = to_records(batch, WIDE_TOPIC, timestamp=F.col("arrival"))
-            write_topic_batch(records, batch_id, job=WIDE_TOPIC, **sink)
+            write_topic_batch(records, batch_id, job=WIDE_TOPIC, run=run, **sink)
         finally:
             batch.unpersist()
 
@@ -202,7 +214,7 @@ def sum_trademarks(wide_records: DataFrame, path: str, bucket: str = INTERVAL) -
     def store(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
             stat = trademark.trademark_batch_stat(batch.withColumn("_clock", clock), F.col("_clock"))
-            write_once(stat, path, batch_id, ["stat_date"])
+            write_once(stat, path, batch_id, ["stat_date"], run_of(batch))
 
     return decoded.writeStream.foreachBatch(store)
 
@@ -223,9 +235,10 @@ def index_active_devices(start_logs: DataFrame, path: str, zone: str = "UTC") ->
         try:
             days = batch.agg(F.min("dt").alias("first"), F.max("dt").alias("last")).first()
             stored = read_table(batch.sparkSession, path, f"{schemas.DAU_INFO}, batch_id bigint")
-            known = stored.where(F.col("batch_id") < batch_id).select("mid", F.col("dt").cast("string").alias("dt"))
+            run = run_of(batch)
+            known = before(stored, batch_id, run).select("mid", F.col("dt").cast("string").alias("dt"))
             known = known.where(F.col("dt").between(days["first"], days["last"]))
-            write_once(dedup_daily(batch).join(known, ["mid", "dt"], "left_anti"), path, batch_id, ["dt"])
+            write_once(dedup_daily(batch).join(known, ["mid", "dt"], "left_anti"), path, batch_id, ["dt"], run)
         finally:
             batch.unpersist()
 
