@@ -202,10 +202,10 @@ def test_decode_keeps_bad_records_apart(spark):
 
 def test_trademark_names_stay_whole(spark):
     df = spark.createDataFrame([(5, "A_B", D("1.10")), (5, "A_B", D("2.20"))], "tm_id bigint, tm_name string, final_detail_amount decimal(18,2)")
-    stat = trademark.trademark_batch_stat(df, F.lit("2020-08-01 10:10:10"))
-    assert rows(stat) == [("2020-08-01", "2020-08-01 10:10:10", "5", "A_B", D("3.30"))]
-    assert rows(trademark.to_datav(trademark.trademark_topn(stat, "2020-08-01", "2020-08-01"))) == [("A_B", D("3.30"), "1")]
-    assert trademark.trademark_topn(stat, "2020-08-02").count() == 0
+    stat = trademark.trademark_batch_stat(df, F.lit("2022-03-04 05:06:07"))
+    assert rows(stat) == [("2022-03-04", "2022-03-04 05:06:07", "5", "A_B", D("3.30"))]
+    assert rows(trademark.to_datav(trademark.trademark_topn(stat, "2022-03-04", "2022-03-04"))) == [("A_B", D("3.30"), "1")]
+    assert trademark.trademark_topn(stat, "2022-03-05").count() == 0
 
 
 def test_window_join(spark):

@@ -16,7 +16,7 @@ WINDOW_SECONDS = 15
 SLIDE_SECONDS = 5
 STATE_TTL_SECONDS = 600
 
-# Column of the order row -> column of the fact.
+# Column of the order row -> column of the fact.
 ORDER_COLUMNS = {
     "id": "order_id",
     "order_status": "order_status",

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 MONEY = "decimal(18,2)"
 
+# Field names and types of the records that producers and consumers exchange.
+
 START_LOG = "common struct<mid:string,uid:string,ar:string,ch:string,vc:string>, ts bigint"
 
 BASE_PROVINCE = "id string, name string, area_code string, iso_code string, iso_3166_2 string"
