@@ -274,6 +274,23 @@ def test_main_text_of_pages(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_main_text_below_named_elements():
+    prose = "".join(f"<p>Sentence {i}, with marks, and of some length. It goes on for a while, as prose does.</p>" for i in range(6))
+    text = "\n".join(f"Sentence {i}, with marks, and of some length. It goes on for a while, as prose does." for i in range(6))
+    menu = '<ul class="menu">' + "".join(f"<li><a>Item {i}</a></li>" for i in range(8)) + "</ul>"
+    head = '<div class="entry-header"><h1>Title here</h1></div>'
+    form = f'<form id="aspnetForm"><div class="header">Site</div>{menu}<div id="content">{head}{prose}</div><div class="footer">Us</div></form>'
+    assert html_text.main_text(form) == "Title here\n" + text
+    share = '<div class="share"><a>Tweet</a> <a>Post</a></div>'
+    page = f'<div class="page has-sidebar"><article>{head}{prose}{share}</article><div class="sidebar"><p>Buy now.</p>{menu}</div></div>'
+    assert html_text.main_text(page) == "Title here\n" + text
+    assert html_text.main_text(f"<label>{prose}</label>") == text
+    assert html_text.main_text(f'<div id="c">{prose}</div><aside><article><p>Teaser, short. Read.</p></article></aside>') == text
+    assert html_text.main_text(f'{menu}<div id="c">{prose}<ul><li><a>Next</a></li><li><a>Previous</a></li></ul></div>') == text
+    assert html_text.main_text(f'<article><p>A <span class="legal">binding</span> word.</p>{prose}</article>') == "A binding word.\n" + text
+    assert html_text.main_text('<div class="notice">Closed.</div>') == "Closed."
+
+
 def test_url_rules_and_models(spark):
     rules = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/")]
     cases = [
