@@ -4,12 +4,13 @@ import hashlib
 import itertools
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, components, decontaminate, html_text, language, neardup, neighbours, packing, quality, toxicity, urls
+from tidewater.llm import charlm, chat, components, decontaminate, html_text, language, neardup, neighbours, packing, quality, text, toxicity, urls
 from tidewater.llm.superminhash import signature
 from tidewater.llm.tables import fold, read
 
@@ -344,6 +345,77 @@ def test_toxicity_holds_out(spark, odd, none, labels):
     assert toxicity.score(none, model).count() == 0
 
 
+def test_language_models_keep_all_runs_apart(spark):
+    """More distinct runs than any fixed number of buckets keeps apart, against the same models in plain dictionaries."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(30_000)]
+    order, classes = toxicity.ORDER, [i % 3 for i in range(len(words))]
+    grams = [Counter() for _ in range(3)]
+    for w, c in zip(words, classes):
+        signs = "\x02" * (order - 1) + w + "\x03"
+        grams[c].update(signs[i : i + order] for i in range(len(signs) - order + 1))
+    low = set().union(*grams)
+    n, total, kinds = Counter(), Counter(), Counter()
+    for _ in range(order - 1):
+        shorter = Counter(g[1:] for g in low)
+        n.update(shorter)
+        for g, k in shorter.items():
+            total[g[:-1]] += k
+            kinds[g[:-1]] += 1
+        low = set(shorter)
+    held = [[Counter(), Counter()] for _ in range(2)]
+    for c in (0, 1):
+        for g, k in grams[c].items():
+            held[c][0][g[:-1]] += k
+            held[c][1][g[:-1]] += 1
+    once = [[sum(k == m for k in grams[c].values()) for m in (1, 2)] for c in (0, 1)]
+
+    def want(w):
+        signs, sums = "\x02" * (order - 1) + w + "\x03", 0.0
+        for i in range(order - 1, len(signs)):
+            p = 1 / 5000
+            for k in range(1, order):
+                g = signs[i - k + 1 : i + 1]
+                if total[g[:-1]]:
+                    p = (max(n[g] - 0.75, 0) + 0.75 * kinds[g[:-1]] * p) / total[g[:-1]]
+            g, logs = signs[i - order + 1 : i + 1], []
+            for c in (0, 1):
+                d, (seen, t) = once[c][0] / (once[c][0] + 2 * once[c][1]), (held[c][j][g[:-1]] for j in (0, 1))
+                logs.append(np.log((max(grams[c][g] - d, 0) + d * t * p) / seen if seen else p))
+            sums += logs[0] - logs[1]
+        return sums
+
+    docs = spark.createDataFrame(list(zip(words, classes)), "text string, class int")
+    model = toxicity._tables(charlm.gram_counts(docs, order, 3, text.letter_words))
+    some = words[:200]
+    assert np.allclose(toxicity._word_scorer(model).rows([[w.encode() for w in some]])[0][:, 0], [want(w) for w in some], atol=1e-9)
+
+    order, decided = urls.ORDER, spark.createDataFrame([(w[:4] + ".x", "/" + w[4:], ("allow", "block")[c % 2]) for w, c in zip(words, classes)], "host string, path string, decided string")
+    model = urls.train(decided)
+    rows = [(r["text"], r["class"]) for r in urls._split_rows(decided).where("not apart").collect()]
+    counts, after, sort = ([Counter(), Counter()] for _ in range(3))
+    for url, c in rows:
+        signs = "\x02" * (order - 1) + url + "\x03"
+        counts[c].update(signs[i - k + 1 : i + 1] for i in range(order - 1, len(signs)) for k in range(1, order + 1))
+    for c in (0, 1):
+        for g, k in counts[c].items():
+            after[c][g[:-1]] += k
+            sort[c][g[:-1]] += 1
+
+    def difference(url):
+        signs, sums = "\x02" * (order - 1) + url + "\x03", 0.0
+        for i in range(order - 1, len(signs)):
+            p = [1 / 256, 1 / 256]
+            for k in range(1, order + 1):
+                g = signs[i - k + 1 : i + 1]
+                p = [(counts[c][g] + sort[c][g[:-1]] * p[c]) / (after[c][g[:-1]] + sort[c][g[:-1]]) if after[c][g[:-1]] else p[c] for c in (0, 1)]
+            sums += np.log(p[0]) - np.log(p[1])
+        return sums / (len(url) + 1)
+
+    some = [u for u, _ in rows[:200]]
+    assert np.allclose(urls._scorer(model)(some), [difference(u) for u in some], atol=1e-9)
+
+
 def test_resampling(spark, odd, none, labels):
     docs, known = read(spark, "/root/testdata/sf0.01", "documents"), read(spark, "/root/testdata/sf0.01", "labels")
     found = quality.resample(docs, known, share=0.8)

@@ -51,34 +51,42 @@ def gram_counts(df: DataFrame, order: int, classes: int, words: Callable[[object
     return counted.groupBy("gram").agg(*(F.sum(f"n_{c}").alias(f"n_{c}") for c in range(classes)))
 
 
-def hashed(df: DataFrame, length: int, bits: int) -> DataFrame:
-    """Sums of all number columns of ``(gram, …)`` by hash bucket; at most ``2 ** bits`` rows.
-
-    All grams have ``length`` signs.
-    """
+def coded(df: DataFrame, length: int) -> DataFrame:
+    """``(code, …)``: ``df`` with the 64-bit codes of its grams; all grams are distinct and have ``length`` signs."""
     names = [c for c in df.columns if c != "gram"]
 
-    def bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            signs = sign_matrix(batch.column("gram").to_pylist(), length)
-            codes = gram_codes(signs) >> np.uint64(64 - bits)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(codes.astype(np.int32)), *(batch.column(c) for c in names)], ["bucket", *names]
-            )
+            codes = gram_codes(sign_matrix(batch.column("gram").to_pylist(), length))
+            yield pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), *(batch.column(c) for c in names)], ["code", *names])
 
-    schema = "bucket int, " + ", ".join(f"{c} bigint" for c in names)
     numbers = df.select("gram", *(F.col(c).cast("bigint").alias(c) for c in names))
-    return numbers.mapInArrow(bucket, schema).groupBy("bucket").agg(*(F.sum(c).alias(c) for c in names))
+    return numbers.mapInArrow(code, "code bigint, " + ", ".join(f"{c} bigint" for c in names))
+
+
+class RunTable:
+    """Numbers of each run by its 64-bit code, as many rows as there are runs; runs it lacks have zeros.
+
+    Tables of several lengths may share one, since codes hold the length.
+    """
+
+    def __init__(self, parts: list[dict[str, np.ndarray]]):
+        codes = np.concatenate([p["code"] for p in parts]).astype(np.int64).view(np.uint64)
+        order = np.argsort(codes)
+        self.codes = codes[order]
+        self._numbers = {c: np.append(np.concatenate([p[c] for p in parts])[order].astype(np.float64), 0) for c in parts[0] if c != "code"}
+
+    def at(self, codes: np.ndarray) -> np.ndarray:
+        """Row of every code."""
+        rows = np.searchsorted(self.codes, codes)
+        found = np.append(self.codes, np.uint64(0))[rows] == codes
+        return np.where(found, rows, len(self.codes))
+
+    def __getitem__(self, column: str) -> np.ndarray:
+        return self._numbers[column]
 
 
 def fetch(table: DataFrame) -> dict[str, np.ndarray]:
-    """Columns of a table of bounded size (see ``hashed``) as arrays on the driver."""
+    """Columns of a table as arrays on the driver; has a row for each distinct run (see ``coded``)."""
     arrow = table.toArrow()
     return {c: arrow.column(c).to_numpy(zero_copy_only=False) for c in arrow.column_names}
-
-
-def spread(table: dict[str, np.ndarray], column: str, bits: int) -> np.ndarray:
-    """One fetched column as a dense array over all buckets."""
-    out = np.zeros(1 << bits, np.float32)
-    out[table["bucket"]] = table[column]
-    return out

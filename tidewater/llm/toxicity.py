@@ -12,6 +12,9 @@ null ids and repeated rows are scored like any other row, since each row is judg
 text alone; labels that repeat a doc_id count as toxic if one of them is; null labels and
 labels without a document are ignored. Without usable labels every score is close to 0.
 Very long texts are scored whole. Extra columns are not touched.
+
+The model holds every distinct run of the corpus by its own 64-bit code, so it is equally
+exact at every size and grows with the number of distinct runs, not of documents.
 """
 
 from __future__ import annotations
@@ -24,13 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm import logistic
-from tidewater.llm.charlm import fetch, gram_counts, hashed, spread
+from tidewater.llm.charlm import RunTable, coded, fetch, gram_counts
 from tidewater.llm.tables import bounded, fold, keep
 from tidewater.llm.text import CharGrams, WordScores, letter_words, segment_sum, small_batches
 
 ORDER = 5
-# Hash buckets of the model: its tables have at most 2 ** BITS rows, whatever the corpus.
-BITS = 21
 # Labelled rows that the class models count and that calibrate the score: all, or a sample by
 # hash of about so many. Their ids and labels are broadcast, so that no text is shuffled.
 LABELLED_ROWS, CALIBRATION_ROWS = 200_000, 20_000
@@ -83,11 +84,11 @@ def _tables(grams: DataFrame) -> dict:
     )
     ones = grams.agg(*(F.count_if(F.col(f"n_{c}") == k).alias(f"m_{c}_{k}") for c in (0, 1) for k in (1, 2))).first()
     model = {
-        "gram": fetch(hashed(labelled.select("gram", "n_0", "n_1"), ORDER, BITS)),
-        "context": fetch(hashed(context, ORDER - 1, BITS)),
+        "gram": RunTable([fetch(coded(labelled.select("gram", "n_0", "n_1"), ORDER))]),
+        "context": RunTable([fetch(coded(context, ORDER - 1))]),
         "discount": [ones[f"m_{c}_1"] / max(1, ones[f"m_{c}_1"] + 2 * ones[f"m_{c}_2"]) or 0.5 for c in (0, 1)],
-        "low": [],
     }
+    own, contexts = [], []
     low = grams.select("gram")
     for length in range(ORDER - 1, 0, -1):
         # How many different signs precede each shorter run: the next order's own runs.
@@ -95,35 +96,28 @@ def _tables(grams: DataFrame) -> dict:
         rest = low.groupBy(F.expr(f"substring(gram, 1, {length - 1})").alias("gram")).agg(
             F.sum("n").alias("n"), F.count("*").alias("t")
         )
-        model["low"].append((length, fetch(hashed(low, length, BITS)), fetch(hashed(rest, length - 1, BITS))))
-    return model
+        own.append(fetch(coded(low, length)))
+        contexts.append(fetch(coded(rest, length - 1)))
+    return model | {"low": RunTable(own), "low_context": RunTable(contexts)}
 
 
 def _word_scorer(model: dict) -> WordScores:
     """Log-likelihood difference and number of signs of each word."""
-    at = lambda codes: (codes >> np.uint64(64 - BITS)).astype(np.int64)
-    gram = [spread(model["gram"], f"n_{c}", BITS) for c in (0, 1)]
-    total = [spread(model["context"], f"n_{c}", BITS) for c in (0, 1)]
-    kinds = [spread(model["context"], f"t_{c}", BITS) for c in (0, 1)]
-    n, n_rest, t_rest = (np.zeros(1 << BITS, np.float32) for _ in range(3))
-    for _, own, rest in model["low"]:  # codes hold the length, so all orders share the buckets
-        np.add.at(n, own["bucket"], own["n"])
-        np.add.at(n_rest, rest["bucket"], rest["n"])
-        np.add.at(t_rest, rest["bucket"], rest["t"])
+    gram, context, low, low_context = (model[k] for k in ("gram", "context", "low", "low_context"))
 
     def score(words: list[bytes]) -> np.ndarray:
         runs = CharGrams([w.decode("utf-8", "replace") for w in words], ORDER)
         p = np.full(len(runs.at), _FLOOR)
         for length in range(1, ORDER):
-            rest, own = at(runs.codes(length - 1, 1)), at(runs.codes(length))
-            seen = n_rest[rest]
-            held = np.maximum(n[own] - _DISCOUNT, 0) + _DISCOUNT * t_rest[rest] * p
-            p = np.where(seen > 0, np.minimum(held / np.maximum(seen, 1), 1), p)
-        rest, own, logs = at(runs.codes(ORDER - 1, 1)), at(runs.codes(ORDER)), []
+            rest, own = low_context.at(runs.codes(length - 1, 1)), low.at(runs.codes(length))
+            seen = low_context["n"][rest]
+            held = np.maximum(low["n"][own] - _DISCOUNT, 0) + _DISCOUNT * low_context["t"][rest] * p
+            p = np.where(seen > 0, held / np.maximum(seen, 1), p)
+        rest, own, logs = context.at(runs.codes(ORDER - 1, 1)), gram.at(runs.codes(ORDER)), []
         for c in (0, 1):
-            seen, d = total[c][rest], model["discount"][c]
-            held = np.maximum(gram[c][own] - d, 0) + d * kinds[c][rest] * p
-            logs.append(np.log(np.maximum(np.where(seen > 0, np.minimum(held / np.maximum(seen, 1), 1), p), 1e-30)))
+            seen, d = context[f"n_{c}"][rest], model["discount"][c]
+            held = np.maximum(gram[f"n_{c}"][own] - d, 0) + d * context[f"t_{c}"][rest] * p
+            logs.append(np.log(np.maximum(np.where(seen > 0, held / np.maximum(seen, 1), p), 1e-30)))
         signs = np.bincount(runs.word, minlength=len(words))
         return np.column_stack([np.bincount(runs.word, logs[0] - logs[1], len(words)), signs])
 
