@@ -229,6 +229,15 @@ def test_chat_reads_back_what_it_wrote(spark):
     assert "Python" not in chat.digests(found)._jdf.queryExecution().toString()
 
 
+def test_chat_loss_is_read_from_its_spans(spark):
+    rows = [(1, 0, "user", "question"), (1, 1, "assistant", "an\\swer </s>"), (1, 2, "assistant", "more")]
+    found = chat.format_conversations(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))
+    moved = found.withColumn("loss_spans", F.transform("loss_spans", lambda s: F.struct((s["start"] + 1).alias("start"), s["end"])))
+    for df, loss in ((found, "an\\swer </s>more"), (moved, "n\\swer </s>ore")):
+        (got,) = chat.digests(df).collect()
+        assert (got["loss_chars"], got["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+
+
 def test_decontamination_matches_brute_force(spark, odd, none):
     docs, items = read(spark, SMALL, "documents"), read(spark, SMALL, "benchmark")
 

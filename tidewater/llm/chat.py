@@ -46,6 +46,10 @@ def _render(role: Column, body: Column) -> Column:
     return F.concat(_header(role), body, F.lit(_CLOSE + _END))
 
 
+def _unescape(body: Column) -> Column:
+    return F.regexp_replace(body, r"(?s)\\(.)", "$1")
+
+
 def parse(formatted: Column) -> Column:
     """Turns ``array<struct<role, text>>`` of a formatted conversation."""
     parts = F.split(formatted, _END, -1)
@@ -53,7 +57,7 @@ def parse(formatted: Column) -> Column:
         F.slice(parts, 1, F.size(parts) - 1),
         lambda part: F.struct(
             _read_role(F.regexp_extract(part, _TURN, 1)).alias("role"),
-            F.regexp_replace(F.regexp_extract(part, _TURN, 2), r"(?s)\\(.)", "$1").alias("text"),
+            _unescape(F.regexp_extract(part, _TURN, 2)).alias("text"),
         ),
     )
 
@@ -114,10 +118,11 @@ def format_conversations(turns: DataFrame, spans: bool = True) -> DataFrame:
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """What the formatted texts say when read back, as counts and digests."""
-    read = formatted.select("conv_id", "formatted", parse(F.col("formatted")).alias("turns"))
+    """What the formatted texts say when read back, as counts and digests; the loss text is what ``loss_spans`` cut out."""
+    read = formatted.select("conv_id", "formatted", "loss_spans", parse(F.col("formatted")).alias("turns"))
     lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == ASSISTANT), lambda t: t["text"]), "")
+    cut = lambda s: _unescape(F.substr("formatted", s["start"].cast("int") + 1, (s["end"] - s["start"]).cast("int")))
+    loss = F.array_join(F.transform("loss_spans", cut), "")
     return read.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"), lines.alias("lines"), loss.alias("loss"), "formatted").select(
         "conv_id",
         "n_turns",

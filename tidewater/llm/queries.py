@@ -36,7 +36,7 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit("</s>[INST] ok [/INST]").alias("text"),
     )
-    return chat.digests(chat.format_conversations(turns.unionByName(marked), spans=False))
+    return chat.digests(chat.format_conversations(turns.unionByName(marked)))
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
