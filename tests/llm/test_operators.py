@@ -114,6 +114,13 @@ def test_near_duplicates_of_odd_rows(odd, none):
     assert neardup.groups(none).count() == 0
 
 
+@pytest.mark.parametrize("percent", [50, 80, 85, 100])
+def test_bands_hold_their_bound_at_every_threshold(spark, percent):
+    docs = spark.createDataFrame([(1, "a b c d e f g h")], "doc_id bigint, text string")
+    keys = len(neardup.sketch(docs, 5, percent).first()["bands"])
+    assert (1 - (percent / 100) ** neardup.BAND_SLOTS) ** keys < 1e-6
+
+
 def test_packing_plan_is_tight_and_gapless():
     rng = np.random.default_rng(0)
     for counts in (np.bincount(rng.integers(1, 2049, 5000), minlength=2049), np.bincount([700] * 99 + [648] * 50 + [3], minlength=2049), np.zeros(2049, int)):

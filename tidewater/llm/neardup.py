@@ -1,7 +1,7 @@
 """Near-duplicate groups by SuperMinHash, banding, verification and union-find.
 
 1. Every text becomes the set of its word shingles. Equal sets form a class; only its least
-   doc_id goes on. A SuperMinHash signature of the set gives ``BANDS`` band keys.
+   doc_id goes on. A SuperMinHash signature of the set gives as many band keys as ``bands`` says.
 2. Classes that share a band key are a bucket. A class can be near another one only if
    most of its shingles occur in other bucketed classes, too; the count of those that do
    not settles classes without a partner, and bounds what two classes can share.
@@ -12,7 +12,7 @@
    filtering finds all pairs of different components that can be similar: only those that
    share one of their rarest shingles, at places that let them share enough.
 
-Banding misses a pair of similarity 0.85 with a probability below one in a million.
+Banding misses a pair at the similarity asked for with a probability below ``MISS``, one in a million.
 
 Rows that repeat a doc_id are judged each by its own text; as a stage, a doc_id goes only if
 none of its rows is kept. A row without doc_id links with nothing, has no component and stays. Texts that are null or without words have
@@ -21,6 +21,7 @@ an empty set and link with nothing. Extra columns are not touched.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,22 +36,30 @@ from tidewater.llm.superminhash import signature, slot_keys
 from tidewater.llm.tables import keep
 from tidewater.llm.text import WordCodes, shingle_codes, small_batches, utf8
 
-BANDS, BAND_SLOTS = 24, 5
+# Slots of a band, and the probability that a pair at the threshold shares no band.
+BAND_SLOTS, MISS = 5, 1e-6
+
+
+def bands(percent: int) -> int:
+    """Bands that keep the probability of a miss at ``percent`` below ``MISS``: 24 at 85, 35 at 80."""
+    shared = (percent / 100) ** BAND_SLOTS
+    return 1 if shared >= 1 else math.floor(math.log(MISS) / math.log1p(-shared)) + 1
 
 
 def _sets(batch: pa.RecordBatch, codes: WordCodes, width: int) -> list[np.ndarray]:
     return [np.unique(shingle_codes(codes.of(t), width)) for t in utf8(batch.column("text"))]
 
 
-def sketch(docs: DataFrame, width: int) -> DataFrame:
+def sketch(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """``(doc_id, n, high, low, bands)``: set size, 128-bit digest of the set, band keys."""
+    slots = bands(percent) * BAND_SLOTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = WordCodes()
         for batch in small_batches(batches):
             sets = _sets(batch, codes, width)
             digests = np.array([[int.from_bytes(xxhash.xxh3_128_digest(s.tobytes())[i : i + 8]) for i in (0, 8)] for s in sets], np.uint64)
-            keys = [slot_keys(signature(s, BANDS * BAND_SLOTS), BAND_SLOTS) if len(s) else s.view(np.int64) for s in sets]
+            keys = [slot_keys(signature(s, slots), BAND_SLOTS) if len(s) else s.view(np.int64) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -168,7 +177,7 @@ def _prefix_pairs(classes: DataFrame, sets: DataFrame, percent: int) -> DataFram
 
 def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` of every row; one document of each group is kept."""
-    rows = keep(sketch(docs, width))
+    rows = keep(sketch(docs, width, percent))
     usable = rows.where("doc_id is not null and n > 0")
     classes = keep(usable.groupBy("high", "low", "n").agg(F.min("doc_id").alias("class_id")))
     firsts = usable.join(classes.withColumnRenamed("class_id", "doc_id"), ["doc_id", "high", "low", "n"], "left_semi")
