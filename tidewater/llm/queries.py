@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, decontaminate, html_text, language, neardup, neighbours, packing, quality, toxicity, urls
+from tidewater.llm import chat, decontaminate, html_text, language, neardup, neighbours, packing, quality, toxicity, urls, whitening, zone_clusters
 from tidewater.llm.tables import read
 
 
@@ -71,6 +71,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
+def op13_zone_map_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zone_clusters.cluster(read(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -85,9 +93,43 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_url_filter,
             op9_language,
             op10_toxicity,
+            op11_whitening,
+            op13_zone_map_clusters,
         )
     }
 
 
+def _clusters_sql(clusters: int = 8, rounds: int = 10) -> str:
+    """Plain comparison of every vector with every centroid, round by round."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+        d{i} AS MATERIALIZED (
+            SELECT r, k, sum((e.x - c.x) * (e.x - c.x)) AS distance FROM entries e JOIN c{i} c USING (d) GROUP BY r, k),
+        a{i} AS MATERIALIZED (
+            SELECT r, k, distance FROM d{i} QUALIFY row_number() OVER (PARTITION BY r ORDER BY distance, k) = 1)""")
+        if i < rounds:
+            steps.append(f"""
+        m{i} AS (SELECT k, d, sum(x) AS s, count(*)::HUGEINT AS n FROM a{i} JOIN entries USING (r) GROUP BY k, d),
+        c{i + 1} AS MATERIALIZED (
+            SELECT c.k, c.d, coalesce(((s - ((s % n) + n) % n) // n)::BIGINT, c.x) AS x FROM c{i} c LEFT JOIN m{i} USING (k, d))""")
+    return f"""
+    WITH kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, c -> floor(1024 * c::DOUBLE)::BIGINT) AS x
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, c -> c IS NOT NULL AND isfinite(c))) = 64),
+        entries AS MATERIALIZED (SELECT r, unnest(range(64)) AS d, unnest(x) AS x FROM kept),
+        start AS (
+            SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), x) - 1 AS k, x FROM kept
+            WHERE vec_id IS NOT NULL QUALIFY k < {clusters}),
+        c0 AS MATERIALIZED (SELECT k, unnest(range(64)) AS d, unnest(x) AS x FROM start),
+        {",".join(steps)},
+        hashes AS (SELECT k, sha256(string_agg(x::VARCHAR, ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY k)
+    SELECT vec_id, k::INTEGER AS cluster, distance::BIGINT AS distance,
+        (sum(distance) OVER (PARTITION BY k))::BIGINT AS cluster_inertia,
+        (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+    FROM a{rounds} JOIN kept USING (r) JOIN hashes USING (k)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op13_zone_map_clusters": _clusters_sql()}
