@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, decontaminate, html_text, language, neardup, neighbours, packing, quality, toxicity, urls, whitening, zone_clusters
+from tidewater.llm import chat, decontaminate, html_text, language, neardup, neighbours, packing, pii, quality, toxicity, urls, whitening, zone_clusters
 from tidewater.llm.tables import read
 
 
@@ -75,6 +75,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read(spark, sf_dir, "embeddings"), "vec_id", "embedding")
 
 
+def op12_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find(read(spark, sf_dir, "documents")))
+
+
 def op13_zone_map_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zone_clusters.cluster(read(spark, sf_dir, "embeddings"), "vec_id", "embedding")
 
@@ -94,6 +98,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op9_language,
             op10_toxicity,
             op11_whitening,
+            op12_pii_spans,
             op13_zone_map_clusters,
         )
     }
