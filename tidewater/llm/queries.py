@@ -120,9 +120,9 @@ def _clusters_sql(clusters: int = 8, rounds: int = 10) -> str:
             SELECT c.k, c.d, coalesce(((s - ((s % n) + n) % n) // n)::BIGINT, c.x) AS x FROM c{i} c LEFT JOIN m{i} USING (k, d))""")
     return f"""
     WITH kept AS MATERIALIZED (
-            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, c -> floor(1024 * c::DOUBLE)::BIGINT) AS x
+            SELECT row_number() OVER () AS r, vec_id, [floor(1024 * c::DOUBLE)::BIGINT FOR c IN embedding] AS x
             FROM embeddings
-            WHERE len(embedding) = 64 AND len(list_filter(embedding, c -> c IS NOT NULL AND isfinite(c))) = 64),
+            WHERE len(embedding) = 64 AND len([c FOR c IN embedding IF c IS NOT NULL AND isfinite(c)]) = 64),
         entries AS MATERIALIZED (SELECT r, unnest(range(64)) AS d, unnest(x) AS x FROM kept),
         start AS (
             SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), x) - 1 AS k, x FROM kept

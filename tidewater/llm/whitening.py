@@ -58,6 +58,7 @@ def step(a: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.longd
     """One Ogita-Aishima step: eigenvalues, corrected vectors, size of the correction, and what counts as apart."""
     r = np.eye(len(a), dtype=_WIDE) - x.T @ x
     s = x.T @ (a @ x)
+    s = (s + s.T) / 2
     values = np.diag(s) / (1 - np.diag(r))
     apart = 2 * (_norm(s - np.diag(values)) + _norm(a) * _norm(r))
     gap = values[None, :] - values[:, None]
@@ -89,7 +90,10 @@ def refined_eigh(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             spread = np.abs(inner).max()
             if spread > least:
                 x[:, near] = own @ np.linalg.eigh(((inner + inner.T) / (2 * spread)).astype(np.float64))[1][:, ::-1].astype(_WIDE)
-    # Unit length, and values as Rayleigh quotients.
+    # Over small gaps rounding turns vectors a little; make them orthogonal again, of unit length, and
+    # take the values as Rayleigh quotients.
+    for _ in range(2):
+        x = x + x @ (np.eye(len(a), dtype=_WIDE) - x.T @ x) / 2
     x = x / np.sqrt(np.sum(x * x, axis=0))
     values = np.einsum("ij,ij->j", x, a @ x)
     order = np.argsort(-values, kind="stable")
