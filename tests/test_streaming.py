@@ -159,7 +159,9 @@ def test_orders_keep_first_flag_over_batches(spark, folder):
     base = sample.order_info(spark, SMALL).persist()
     provinces, users = sample.base_province(spark, SMALL), queries._users(spark, SMALL)
     for name, dim in (("province", provinces), ("user", users)):
-        dim.withColumn("changed_at", F.lit(at(0))).write.parquet(f"{folder}/{name}/batch_id=0")
+        ddl = schemas.BASE_PROVINCE if name == "province" else schemas.USER_DIM
+        rows_at = dim.withColumn("changed_at", F.lit(at(0)).cast("timestamp"))
+        jobs.dim_table(f"{folder}/{name}", ddl, "id").upsert(rows_at, "load", 0, ["changed_at"])
     cuts = ["", "1997-01-01", "1999-06-01", "9"]
     for low, high in zip(cuts, cuts[1:]):
         part = base.where((F.col("create_time") >= low) & (F.col("create_time") < high))
@@ -175,7 +177,7 @@ def test_orders_keep_first_flag_over_batches(spark, folder):
     assert play(f"{folder}/ck") == rows(expected)
     # A fresh checkpoint numbers from 0 again: what is there stays, and the flags of the same orders too.
     assert play(f"{folder}/ck-again") == rows(expected.unionAll(expected))
-    state = read_table(spark, f"{folder}/state")
+    state = jobs.user_state_table(f"{folder}/state").read(spark)
     assert rows(state, "user_id", "if_consumed", "first_order_id") == rows(
         orders.new_user_state(base, sample.empty_user_state(spark)), "user_id", "if_consumed", "first_order_id"
     )

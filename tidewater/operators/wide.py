@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -92,7 +92,20 @@ def to_order_wide(joined: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return have.select(*columns, *keep, *[c for c in (SLICE, SLICES) if c in joined.columns])
 
 
-def allocate_amount(wide: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def _line_shares(wide: DataFrame) -> DataFrame:
+    """Add the line's amount, its proportional share in cents, and 1."""
+    paid, original = cents(F.col("final_total_amount")), cents(F.col("original_total_amount"))
+    rows = wide.withColumn("_amount", cents(F.col("sku_price")) * F.col("sku_num"))
+    return rows.withColumn("_share", proportional_cents(paid, F.col("_amount"), original)).withColumn("_line", F.lit(1))
+
+
+def order_sums(wide: DataFrame, *more: Column) -> DataFrame:
+    """What :func:`allocate_amount` has to know of the lines before: per order, sums of amounts, shares and lines."""
+    totals = [F.sum(c).cast("bigint").alias(f"{c[1:]}s") for c in _RUNNING]
+    return _line_shares(wide).groupBy("order_id").agg(*totals, *more)
+
+
+def allocate_amount(wide: DataFrame, hot: HotKeys | None = None, carried: DataFrame | None = None) -> DataFrame:
     """Fill ``final_detail_amount``: the order's paid amount split over its lines.
 
     A line gets paid total x price x number / original total, rounded to cents.
@@ -102,7 +115,8 @@ def allocate_amount(wide: DataFrame, hot: HotKeys | None = None) -> DataFrame:
 
     The sums run as a window over the partitioning of the join. Lines of an
     order that dominates are dealt anew, by ranges of line ids, and each range
-    starts from the totals of those before it.
+    starts from the totals of those before it. ``carried`` holds the
+    :func:`order_sums` of lines allocated earlier, on which all these go on.
     """
     if hot is None and SLICE not in wide.columns:
         hot = hot_keys(wide, "order_id")
@@ -110,14 +124,16 @@ def allocate_amount(wide: DataFrame, hot: HotKeys | None = None) -> DataFrame:
         wide = deal(wide, hot, ["order_detail_id"])
     out = [c for c in wide.columns if c not in (SLICE, SLICES)]
     paid, original = cents(F.col("final_total_amount")), cents(F.col("original_total_amount"))
-    rows = wide.withColumn("_amount", cents(F.col("sku_price")) * F.col("sku_num")).withColumn(
-        "_share", proportional_cents(paid, F.col("_amount"), original)
-    ).withColumn("_line", F.lit(1))
+    rows = _line_shares(wide)
     if SLICE in wide.columns:
         summed = _running(rows.where(F.col(SLICES) == 1), ["order_id", SLICE, SLICES]).drop(SLICE, SLICES)
         summed = summed.unionByName(_running_by_range(rows.where(F.col(SLICES) > 1).drop(SLICE, SLICES)))
     else:
         summed = _running(rows, ["order_id"])
+    if carried is not None:
+        earlier = carried.select("order_id", *[F.col(f"{c[1:]}s").alias(f"{c}_earlier") for c in _RUNNING])
+        summed = summed.join(earlier, "order_id", "left")
+        summed = summed.withColumns({f"{c}_so_far": F.col(f"{c}_so_far") + F.coalesce(f"{c}_earlier", F.lit(0)) for c in _RUNNING})
     # Lines without an amount complete nothing, except the first of an order without a total.
     completes = (F.col("_amount_so_far") == original) & ((F.col("_amount") > 0) | (F.col("_line_so_far") == 1))
     share = F.when(completes, paid - F.col("_share_so_far") + F.col("_share")).otherwise(F.col("_share"))

@@ -349,4 +349,30 @@ FROM groups""",
     sql["province_sales"] = _with(
         _SHARES, "SELECT province_name, CAST(sum(sku_num) AS BIGINT) AS sku_num FROM wide GROUP BY province_name"
     )
+    # Stored tables give what the whole rows give.
+    for stored, whole in {
+        "dim_upsert_stored": "dim_upsert_latest",
+        "user_state_stored": "user_state_upsert",
+        "order_split_stored": "order_split_partial",
+        "order_total_stored": "order_total_day",
+        "order_hour_stored": "order_hour_day",
+        "hour_compare_stored": "hour_compare_day",
+        "trademark_range_stored": "trademark_topn_range",
+        "dau_total_stored": "dau_total_day",
+    }.items():
+        sql[stored] = sql[whole]
+    sql["brand_amount_sliding"] = _with(
+        _SHARES
+        + """,
+moments AS (
+  SELECT CAST(tm_id AS VARCHAR) AS tm_id, tm_name, paid_cents,
+         1704067200 + (order_id * 7) % 2592000 + order_detail_id // 100000000000000000 * 4 AS second
+  FROM split),
+windows AS (SELECT tm_id, tm_name, paid_cents, second // 5 * 5 - 5 * k AS start FROM moments, range(3) AS back(k))""",
+        f"""
+SELECT strftime(make_timestamp(start * 1000000), '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(make_timestamp((start + 15) * 1000000), '%Y-%m-%d %H:%M:%S') AS window_end,
+       tm_id, tm_name, {_amount("sum(paid_cents)")} AS amount
+FROM windows GROUP BY start, tm_id, tm_name""",
+    )
     return sql

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater import schemas
@@ -12,7 +12,8 @@ from tidewater.functions.clock import epoch_seconds, parse_time, text_time
 from tidewater.operators import dau as dau_ops
 from tidewater.operators import dims, orders, routing, trademark, wide
 from tidewater.operators.skew import HotKeys, hot_keys
-from tidewater.plans import reports
+from tidewater.plans import batches, reports, stored
+from tidewater.sinks.parts import PartTable
 from tidewater.sinks.tables import latest_by_key
 from tidewater.sources import sample
 from tidewater.sources.decode import decode
@@ -86,17 +87,22 @@ def _paid(spark: SparkSession, sf: str, start: str | None = None, end: str | Non
     return _allocated(spark, sf, sample.order_detail(spark, sf, hot), hot, start, end)
 
 
-def _partly_paid(spark: SparkSession, sf: str, hot: HotKeys) -> DataFrame:
-    """Allocated lines under stated totals that are 1.00 too large, lack the last line, or are right, in turn."""
-    lines = sample.order_detail(spark, sf, hot)
+def _partly_stated(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
+    """Order heads whose stated totals are 1.00 too large, lack the last line, or are right, in turn."""
     last = lines.groupBy("order_id").agg(F.max_by(F.col("order_price") * F.col("sku_num"), "id").alias("_last"))
     turn, total = F.col("id") % 3, F.col("original_total_amount")
     stated = F.when(turn == 0, total + 1).when(turn == 1, total - F.col("_last")).otherwise(total)
     heads = orders.derive_order_time(sample.order_info(spark, sf)).join(last, F.col("id") == F.col("order_id"), "left")
-    heads = heads.withColumn("original_total_amount", stated.cast(schemas.MONEY)).drop("_last", "order_id")
-    return wide.allocate_amount(_wide(heads, lines, hot), hot).select(
-        "order_id", "order_detail_id", "original_total_amount", "final_detail_amount"
-    )
+    return heads.withColumn("original_total_amount", stated.cast(schemas.MONEY)).drop("_last", "order_id")
+
+
+_SPLIT = ["order_id", "order_detail_id", "original_total_amount", "final_detail_amount"]
+
+
+def _partly_paid(spark: SparkSession, sf: str, hot: HotKeys) -> DataFrame:
+    lines = sample.order_detail(spark, sf, hot)
+    heads = _partly_stated(spark, sf, lines)
+    return wide.allocate_amount(_wide(heads, lines, hot), hot).select(*_SPLIT)
 
 
 def _stat(spark: SparkSession, sf: str, start: str | None = None, end: str | None = None) -> DataFrame:
@@ -344,6 +350,79 @@ def province_sales(spark: SparkSession, sf: str) -> DataFrame:
     return reports.province_sales(_wide(heads, sample.order_detail(spark, sf, hot), hot))
 
 
+# --- the same from stored tables that batches have filled ---------------------
+
+
+def dim_upsert_stored(spark: SparkSession, sf: str) -> DataFrame:
+    order = ["changed_at", "change_id", "change_line", "source_id", "price_cents"]
+    turn = F.pmod(F.xxhash64("change_id", "change_line"), F.lit(3))
+    found = batches.upserted(sample.sku_changes(spark, sf), batches.PRICE_CHANGES, "id", order, turn)
+    return found.select("id", "price_cents", "change_id", "change_line", "source_id")
+
+
+def user_state_stored(spark: SparkSession, sf: str) -> DataFrame:
+    every = sample.order_info(spark, sf)
+    return batches.user_state(sample.order_batch(every), sample.prior_user_state(every), orders.new_user_state)
+
+
+def _turn_of_line() -> Column:
+    """Lines come two at a time, the rest last."""
+    number = F.floor(F.col("order_detail_id") / F.lit(10**17))
+    return F.when(number <= 2, 0).when(number <= 4, 1).otherwise(2)
+
+
+def _lines_arriving(spark: SparkSession, sf: str, hot: HotKeys) -> DataFrame:
+    return sample.with_line_arrival(_details(spark, sf, hot), 4)
+
+
+def order_split_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """``order_split_partial`` with the lines of an order spread over batches."""
+    hot = _hot(spark, sf)
+    lines = _lines_arriving(spark, sf, hot)
+    heads = _partly_stated(spark, sf, lines)
+    pairs = wide.join_order_detail(heads, lines, hot, detail_extra=("arrival",))
+    fact = wide.to_order_wide(pairs.withColumn("arrival", F.col("arrival").cast("timestamp")), ("arrival",)).drop("_slice", "_slices")
+    return batches.allocated(fact, _turn_of_line()).select(*_SPLIT)
+
+
+def brand_amount_sliding(spark: SparkSession, sf: str) -> DataFrame:
+    """Allocated amount by brand in windows of 15 s that start every 5 s, at the arrival of the lines."""
+    hot = _hot(spark, sf)
+    heads = orders.derive_order_time(sample.order_info(spark, sf))
+    pairs = wide.join_order_detail(heads, _lines_arriving(spark, sf, hot), hot, detail_extra=("arrival",))
+    paid = wide.allocate_amount(wide.to_order_wide(pairs, ("arrival",)), hot)
+    at = epoch_seconds(F.col("arrival"))
+    return trademark.sliding_amount(paid, at, wide.WINDOW_SECONDS, wide.SLIDE_SECONDS)
+
+
+def _order_rollup(spark: SparkSession, sf: str) -> PartTable:
+    hot = _hot(spark, sf)
+    return batches.order_rollup(_allocated(spark, sf, _details(spark, sf, hot), hot))
+
+
+def order_total_stored(spark: SparkSession, sf: str) -> DataFrame:
+    return stored.order_total(_order_rollup(spark, sf), spark, ORDER_DAY)
+
+
+def order_hour_stored(spark: SparkSession, sf: str) -> DataFrame:
+    return stored.order_hour(_order_rollup(spark, sf), spark, ORDER_DAY)
+
+
+def hour_compare_stored(spark: SparkSession, sf: str) -> DataFrame:
+    hourly = stored.order_hour(_order_rollup(spark, sf), spark, DAY_BEFORE, ORDER_DAY)
+    return reports.hour_compare(hourly, "amount", ORDER_DAY)
+
+
+def trademark_range_stored(spark: SparkSession, sf: str) -> DataFrame:
+    return stored.trademark_topn(_order_rollup(spark, sf), spark, SALES_FROM, SALES_TO)
+
+
+def dau_total_stored(spark: SparkSession, sf: str) -> DataFrame:
+    starts = routing.route_app_log(sample.app_logs(spark, sf)).where(F.col("topic") == routing.START_TOPIC)
+    table = batches.device_rollup(dau_ops.to_dau_info(decode(starts, schemas.START_LOG)))
+    return stored.dau_total(table, spark, LOG_DAY)
+
+
 _QUERIES = [
     app_log_route,
     raw_log_archive_counts,
@@ -388,6 +467,15 @@ _QUERIES = [
     sale_detail_total,
     sale_detail_stats,
     province_sales,
+    dim_upsert_stored,
+    user_state_stored,
+    order_split_stored,
+    brand_amount_sliding,
+    order_total_stored,
+    order_hour_stored,
+    hour_compare_stored,
+    trademark_range_stored,
+    dau_total_stored,
 ]
 
 

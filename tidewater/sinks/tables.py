@@ -18,6 +18,7 @@ from tidewater.sources.tables import read_table
 
 BATCH = "batch_id"
 RUN = "run"
+COMPACT = "compact"
 
 
 def run_of(batch: DataFrame) -> str:
@@ -105,9 +106,14 @@ def compact(
     order_by: Sequence[str] = (),
     partition_by: Sequence[str] = (),
 ) -> None:
-    """Fold an upserted table's batches into one in a new folder; switch readers after it."""
+    """Fold an upserted table's batches into one in a new folder; readers and jobs may go on there.
+
+    Of a table with runs the folded rows are the run ``compact``, beside which jobs put
+    theirs, otherwise the batch before all others.
+    """
+    runs = RUN in read_table(spark, path, f"{ddl}, {BATCH} bigint").columns
     rows = read_latest(spark, path, keys, ddl, order_by)
-    write_once(rows, target, -1, partition_by)
+    write_once(rows, target, -1, partition_by, COMPACT if runs else None)
 
 
 def archive_raw(logs: DataFrame, path: str, batch_id: int) -> None:

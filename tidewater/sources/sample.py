@@ -287,6 +287,12 @@ def with_detail_arrival(details: DataFrame, seconds_per_line: int) -> DataFrame:
     return sent.withColumn("arrival", _arrival(F.col("order_id"), lag + F.col("_again"))).drop("_again")
 
 
+def with_line_arrival(details: DataFrame, seconds_per_line: int) -> DataFrame:
+    """Lines arrive in line order, each once."""
+    lag = F.col("l_linenumber") * seconds_per_line
+    return details.withColumn("arrival", _arrival(F.col("order_id"), lag))
+
+
 # --- change records ---------------------------------------------------------
 
 

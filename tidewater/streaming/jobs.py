@@ -17,12 +17,14 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from tidewater import schemas
 from tidewater.operators import dims, orders, routing, trademark
 from tidewater.operators.dau import dedup_daily, to_dau_info
-from tidewater.operators.wide import STATE_TTL_SECONDS, WINDOW_SECONDS
-from tidewater.sinks.tables import before, read_latest, run_of, upsert_by_key, write_once
+from tidewater.operators.wide import SLIDE_SECONDS, STATE_TTL_SECONDS, WINDOW_SECONDS
+from tidewater.plans import stored
+from tidewater.sinks.parts import PartTable
+from tidewater.sinks.tables import before, run_of, write_once
 from tidewater.sinks.topics import to_records, write_topic_batch, write_topic_stream
 from tidewater.sources.decode import decode, undecodable
 from tidewater.sources.tables import read_table
-from tidewater.streaming.state import allocate_stream, join_orders_stream
+from tidewater.streaming.state import allocate_batch, join_orders_stream, newest_table, order_sums_table, split_late
 
 INTERVAL = "5 seconds"
 
@@ -77,9 +79,26 @@ def route_changes(records: DataFrame, sink: Sink, arrays: bool = False) -> DataS
 CHANGED = "changed_at"
 
 
-def read_dim(spark: SparkSession, path: str, ddl: str, key: str) -> DataFrame:
-    """A dimension as of now; read inside each batch, so changes show at once."""
-    return read_latest(spark, path, [key], f"{ddl}, {CHANGED} timestamp", [CHANGED]).drop(CHANGED)
+def dim_table(path: str, ddl: str, key: str) -> PartTable:
+    """The stored form of a dimension: buckets of its key."""
+    return PartTable(path, f"{ddl}, {CHANGED} timestamp", (key,))
+
+
+def read_dim(
+    spark: SparkSession, path: str, ddl: str, key: str, facts: DataFrame | None = None, fact_key: str | None = None
+) -> DataFrame:
+    """A dimension as of now; read inside each batch, so changes show at once.
+
+    Given the facts that look up in it, only the buckets of their keys.
+    """
+    table = dim_table(path, ddl, key)
+    parts = None if facts is None else table.parts_of(facts.select(F.col(fact_key).cast("string").alias(key)))
+    return table.read(spark, parts).drop(CHANGED)
+
+
+def user_state_table(path: str) -> PartTable:
+    """Users that have bought, in buckets."""
+    return PartTable(path, schemas.USER_STATE, ("user_id",))
 
 
 def maintain_dim(
@@ -90,7 +109,10 @@ def maintain_dim(
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            upsert_by_key(derive(batch), path, batch_id, [key], [CHANGED], run=run_of(batch))
+            derived = derive(batch)
+            columns = [f for f in derived.schema.fields if f.name != CHANGED]
+            ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in columns)
+            dim_table(path, ddl, key).upsert(derived, run_of(batch), batch_id, [CHANGED])
 
     return decoded.writeStream.foreachBatch(upsert)
 
@@ -112,9 +134,9 @@ def maintain_sku(rows: DataFrame, path: str, category3: str, trademark_path: str
         spark = batch.sparkSession
         return dims.build_sku_dim(
             batch,
-            read_dim(spark, category3, schemas.BASE_CATEGORY3, "id"),
-            read_dim(spark, trademark_path, "tm_id string, tm_name string", "tm_id"),
-            read_dim(spark, spu, schemas.SPU_INFO, "id"),
+            read_dim(spark, category3, schemas.BASE_CATEGORY3, "id", batch, "category3_id"),
+            read_dim(spark, trademark_path, "tm_id string, tm_name string", "tm_id", batch, "tm_id"),
+            read_dim(spark, spu, schemas.SPU_INFO, "id", batch, "spu_id"),
         )
 
     return maintain_dim(rows, path, schemas.SKU_INFO, "id", derive)
@@ -137,18 +159,18 @@ def enrich_orders(rows: DataFrame, sink: Sink, state: str, provinces: str, users
         batch = batch.persist()
         try:
             run = run_of(batch)
-            stored = read_table(spark, state, f"{schemas.USER_STATE}, batch_id bigint")
-            known = before(stored, batch_id, run).drop("batch_id", "run")
+            bought = user_state_table(state)
+            known = bought.read(spark, bought.parts_of(batch), (run, batch_id))
             wide = orders.order_info_wide(
                 batch,
                 known,
-                read_dim(spark, provinces, schemas.BASE_PROVINCE, "id"),
-                read_dim(spark, users, schemas.USER_DIM, "id"),
+                read_dim(spark, provinces, schemas.BASE_PROVINCE, "id", batch, "province_id"),
+                read_dim(spark, users, schemas.USER_DIM, "id", batch, "user_id"),
                 keep=("timestamp",),
             )
             records = to_records(wide, ORDER_TOPIC, "id", F.col("timestamp"))
             write_topic_batch(records, batch_id, job=ORDER_TOPIC, run=run, **sink)
-            write_once(orders.new_user_state(batch, known), state, batch_id, run=run)
+            bought.upsert(orders.new_user_state(batch, known), run, batch_id, ["if_consumed"])
         finally:
             batch.unpersist()
 
@@ -161,7 +183,7 @@ def enrich_details(rows: DataFrame, sink: Sink, skus: str) -> DataStreamWriter:
 
     def enrich(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            wide = orders.join_sku(batch, read_dim(batch.sparkSession, skus, schemas.SKU_DIM, "id"))
+            wide = orders.join_sku(batch, read_dim(batch.sparkSession, skus, schemas.SKU_DIM, "id", batch, "sku_id"))
             records = to_records(wide, DETAIL_TOPIC, timestamp=F.col("timestamp"))
             write_topic_batch(records, batch_id, job=DETAIL_TOPIC, run=run_of(batch), **sink)
 
@@ -174,16 +196,23 @@ def build_order_wide(
     fact: str,
     sink: Sink,
     within: str = f"{WINDOW_SECONDS} seconds",
+    delay: str | None = None,
+    sums: str | None = None,
 ) -> DataStreamWriter:
     """Join, dedup, allocate; rows go to the fact table by day and to the next topic.
 
     ``within`` is 15 seconds for the windowed join; :data:`CACHE_WITHIN` gives the long-lived one.
+    ``delay`` is the watermark's, as long as ``within`` if open; :func:`keep_late` in front, with the
+    same delay, puts the rows aside that it would drop. The running sums of orders are stored in
+    ``sums``, beside the fact if open.
     """
     pairs = join_orders_stream(
         decode(order_records, schemas.ORDER_INFO_WIDE, keep=("timestamp",)),
         decode(detail_records, schemas.ORDER_DETAIL_WIDE, keep=("timestamp",)),
         within,
+        delay,
     )
+    so_far = order_sums_table(sums or f"{fact.rstrip('/')}_sums")
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -191,13 +220,41 @@ def build_order_wide(
             if batch.isEmpty():
                 return
             run = run_of(batch)
-            write_once(batch.select(*schemas.names(schemas.ORDER_WIDE)), fact, batch_id, ["dt"], run)
-            records = to_records(batch, WIDE_TOPIC, timestamp=F.col("arrival"))
+            allocated, totals = allocate_batch(batch, so_far, run, batch_id)
+            write_once(allocated.select(*schemas.names(schemas.ORDER_WIDE)), fact, batch_id, ["dt"], run)
+            records = to_records(allocated, WIDE_TOPIC, timestamp=F.col("arrival"))
             write_topic_batch(records, batch_id, job=WIDE_TOPIC, run=run, **sink)
+            so_far.upsert(totals, run, batch_id, ["last_at"])
+        finally:
+            batch.unpersist()
+
+    return pairs.writeStream.outputMode("append").foreachBatch(store)
+
+
+def keep_late(records: DataFrame, topic: str, sink: Sink, late: str, delay: str) -> DataStreamWriter:
+    """Pass records on to ``topic``; those that a watermark of ``delay`` would drop go to the table ``late``.
+
+    ``delay`` is a number of seconds, minutes or hours, as ``15 seconds``.
+    """
+    number, unit = delay.split()
+    seconds = int(number) * {"second": 1, "minute": 60, "hour": 3600}[unit.rstrip("s")]
+    newest = newest_table(f"{late.rstrip('/')}_newest")
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            if batch.isEmpty():
+                return
+            run = run_of(batch)
+            passed, behind, after = split_late(batch, newest, run, batch_id, seconds)
+            out = passed.withColumn("topic", F.lit(topic))
+            write_topic_batch(out, batch_id, job=topic, run=run, **sink)
+            write_once(behind, late, batch_id, run=run)
+            newest.upsert(after, run, batch_id, ["newest"])
         finally:
             batch.unpersist()
 
-    return allocate_stream(pairs).writeStream.outputMode("append").foreachBatch(store)
+    return records.select("key", "value", "timestamp").writeStream.foreachBatch(split)
 
 
 CACHE_WITHIN = f"{STATE_TTL_SECONDS} seconds"
@@ -219,12 +276,46 @@ def sum_trademarks(wide_records: DataFrame, path: str, bucket: str = INTERVAL) -
     return decoded.writeStream.foreachBatch(store)
 
 
-def index_active_devices(start_logs: DataFrame, path: str, zone: str = "UTC") -> DataStreamWriter:
-    """First start-up per device and day into a table by day.
+def slide_trademarks(
+    wide_records: DataFrame, path: str, delay: str, window: str = f"{WINDOW_SECONDS} seconds", slide: str = f"{SLIDE_SECONDS} seconds"
+) -> DataStreamWriter:
+    """Brand sums of sliding windows, by day of their start; a window is written once the watermark has passed it.
+
+    Rows are summed in panes of one slide first, and panes in windows. Records more than
+    ``delay`` behind the newest may be left out.
+    """
+    brand = [F.col("tm_id").cast("string").alias("tm_id"), "tm_name"]
+    rows = decode(wide_records, schemas.ORDER_WIDE, keep=("timestamp",)).withWatermark("timestamp", delay)
+    panes = rows.groupBy(F.window("timestamp", slide).alias("pane"), *brand).agg(F.sum("final_detail_amount").alias("amount"))
+    sums = panes.groupBy(F.window("pane", window, slide).alias("_w"), "tm_id", "tm_name").agg(F.sum("amount").alias("amount"))
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    found = sums.select(
+        text(F.col("_w.start")).alias("window_start"), text(F.col("_w.end")).alias("window_end"), "tm_id", "tm_name",
+        F.col("amount").cast(trademark.SLIDING_AMOUNT).alias("amount"),
+    )
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            write_once(batch.withColumn("dt", F.substring("window_start", 1, 10)), path, batch_id, ["dt"], run_of(batch))
+
+    return found.writeStream.outputMode("append").foreachBatch(store)
+
+
+def roll_up_orders(wide_records: DataFrame, path: str) -> DataStreamWriter:
+    """Amounts and lines by day, hour and brand, added up over batches; late rows go to their own day."""
+    decoded = decode(wide_records, schemas.ORDER_WIDE)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            stored.order_rollup(path).add(stored.order_partials(batch), run_of(batch), batch_id)
+
+    return decoded.writeStream.foreachBatch(store)
+
+
+def index_active_devices(start_logs: DataFrame, path: str, zone: str = "UTC", rollup: str | None = None) -> DataStreamWriter:
+    """First start-up per device and day into a table by day; counts by day and hour into ``rollup`` if named.
 
-    A batch adds its earliest row of every device that no earlier batch has stored for
-    that day. Days never close, so a late row is not lost. The join reads only the days
-    from the batch's first to its last.
+    Days never close, so a late row is not lost.
     """
     devices = to_dau_info(decode(start_logs, schemas.START_LOG), zone)
 
@@ -233,13 +324,24 @@ def index_active_devices(start_logs: DataFrame, path: str, zone: str = "UTC") ->
             return
         batch = batch.persist()
         try:
-            days = batch.agg(F.min("dt").alias("first"), F.max("dt").alias("last")).first()
-            stored = read_table(batch.sparkSession, path, f"{schemas.DAU_INFO}, batch_id bigint")
             run = run_of(batch)
-            known = before(stored, batch_id, run).select("mid", F.col("dt").cast("string").alias("dt"))
-            known = known.where(F.col("dt").between(days["first"], days["last"]))
-            write_once(dedup_daily(batch).join(known, ["mid", "dt"], "left_anti"), path, batch_id, ["dt"], run)
+            fresh = new_devices(batch, path, run, batch_id)
+            write_once(fresh, path, batch_id, ["dt"], run)
+            if rollup:
+                stored.device_rollup(rollup).add(stored.device_partials(fresh), run, batch_id)
         finally:
             batch.unpersist()
 
     return devices.writeStream.foreachBatch(store)
+
+
+def new_devices(batch: DataFrame, path: str, run: str, batch_id: int) -> DataFrame:
+    """The earliest row of every device of the batch that no earlier batch has stored for that day.
+
+    Only the batch's own days are read.
+    """
+    days = [r["dt"] for r in batch.select("dt").distinct().collect()]
+    known = read_table(batch.sparkSession, path, f"{schemas.DAU_INFO}, batch_id bigint")
+    known = before(known, batch_id, run).where(F.col("dt").cast("string").isin(days))
+    known = known.select("mid", F.col("dt").cast("string").alias("dt"))
+    return dedup_daily(batch).join(known, ["mid", "dt"], "left_anti")

@@ -1,86 +1,95 @@
-"""Stream forms of the stateful steps: order/line join, running allocation."""
+"""Stream forms of the stateful steps: order/line join, running allocation, late rows."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import datetime as dt
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import StructType
 
-from tidewater import schemas
-from tidewater.functions.money import cents, money, proportional_cents
-from tidewater.operators.wide import DETAIL_COLUMNS, ORDER_COLUMNS, STATE_TTL_SECONDS, to_order_wide
+from tidewater.operators.skew import SLICE_ROWS, HotKeys, hot_keys
+from tidewater.operators.wide import DETAIL_COLUMNS, ORDER_COLUMNS, STATE_TTL_SECONDS, allocate_amount, order_sums, to_order_wide
+from tidewater.sinks.parts import PartTable
 
+# Shares that the lines of an order are dealt into; the order is kept once for each.
+SALTS = 8
 
-def join_orders_stream(orders: DataFrame, details: DataFrame, within: str, delay: str | None = None) -> DataFrame:
+
+def join_orders_stream(
+    orders: DataFrame, details: DataFrame, within: str, delay: str | None = None, salts: int = SALTS
+) -> DataFrame:
     """Order fact rows whose order and line arrive less than ``within`` apart, each line once.
 
     Both sides carry their arrival in ``timestamp``. Rows more than ``delay``
-    (default ``within``) behind the newest arrival of their side may be dropped.
+    (default ``within``) behind the newest arrival of their side may be dropped;
+    :func:`split_late` tells them apart before. Lines of an order are dealt over
+    ``salts`` tasks by a hash of their id, and so is the state that waits for them.
     """
     delay = delay or within
     heads = orders.select(
-        *[F.col(a).alias(b) for a, b in ORDER_COLUMNS.items()], F.col("timestamp").alias("_order_at")
+        *[F.col(a).alias(b) for a, b in ORDER_COLUMNS.items()],
+        F.col("timestamp").alias("_order_at"),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_order_salt"),
     ).withWatermark("_order_at", delay)
     lines = details.select(
         F.col("order_id").alias("_line_order"),
         *[F.col(a).alias(b) for a, b in DETAIL_COLUMNS.items()],
         F.col("timestamp").alias("arrival"),
+        F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("_salt"),
     ).withWatermark("arrival", delay)
     reach = F.expr(f"interval {within}")
     near = (F.col("arrival") > F.col("_order_at") - reach) & (F.col("arrival") < F.col("_order_at") + reach)
-    joined = heads.join(lines, (F.col("order_id") == F.col("_line_order")) & near)
+    same = (F.col("order_id") == F.col("_line_order")) & (F.col("_order_salt") == F.col("_salt"))
+    joined = heads.join(lines, same & near)
     # One event-time column may remain for the dedup.
-    pairs = joined.drop("_order_at", "_line_order").dropDuplicatesWithinWatermark(["order_id", "order_detail_id"])
+    pairs = joined.drop("_order_at", "_line_order", "_order_salt").dropDuplicatesWithinWatermark(["order_id", "order_detail_id", "_salt"])
     return to_order_wide(pairs, ("arrival",))
 
 
-_MONEY = ["sku_price", "benefit_reduce_amount", "feight_fee", "original_total_amount", "final_total_amount"]
+def order_sums_table(path: str) -> PartTable:
+    """Sums of each order's lines so far and the arrival of the last."""
+    return PartTable(path, "order_id bigint, amounts bigint, shares bigint, lines bigint, last_at timestamp", ("order_id",))
 
 
-def allocate_stream(wide: DataFrame, ttl_seconds: int = STATE_TTL_SECONDS) -> DataFrame:
-    """Fill ``final_detail_amount`` line by line in arrival order.
+def allocate_batch(
+    batch: DataFrame, sums: PartTable, run: str, batch_id: int, ttl_seconds: int = STATE_TTL_SECONDS
+) -> tuple[DataFrame, DataFrame]:
+    """A micro-batch of fact rows with amounts allocated, and the sums to store after it.
 
-    Per order the state is two sums and a flag, kept ``ttl_seconds`` of event
-    time past the last line. Lines of one batch count in the order of their ids.
-    A batch's lines of an order pass in Arrow chunks and are never gathered.
+    Lines count in the order of their batches and within one of their ids. What earlier
+    batches summed comes from the buckets of the batch's orders only. Sums that nothing was
+    added to for ``ttl_seconds`` before the batch are forgotten.
     """
-    share = proportional_cents(
-        cents(F.col("final_total_amount")),
-        cents(F.col("sku_price")) * F.col("sku_num"),
-        cents(F.col("original_total_amount")),
-    )
-    in_cents = wide.withColumn("final_detail_amount", share).withColumns({c: cents(F.col(c)) for c in _MONEY})
-    out = StructType([f for f in in_cents.schema.fields])
-
-    def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        amounts, shares, started = state.get if state.exists else (0, 0, False)
-        newest = state.getCurrentWatermarkMs()
-        for rows in chunks:
-            rows = rows.sort_values("order_detail_id", kind="stable")
-            amount = (rows["sku_price"] * rows["sku_num"]).to_numpy()
-            part = rows["final_detail_amount"].to_numpy()
-            so_far = amounts + np.cumsum(amount)
-            others = shares + np.cumsum(part) - part
-            has_amount = amount > 0
-            if not started:
-                has_amount[0] = True
-            last = (so_far == rows["original_total_amount"].to_numpy()) & has_amount
-            rows["final_detail_amount"] = np.where(last, rows["final_total_amount"].to_numpy() - others, part)
-            amounts, shares, started = int(so_far[-1]), int(others[-1] + part[-1]), True
-            newest = max(newest, int(rows["arrival"].max().timestamp() * 1000))
-            yield rows
-        state.update((amounts, shares, started))
-        state.setTimeoutTimestamp(newest + ttl_seconds * 1000)
-
-    split = in_cents.groupBy("order_id").applyInPandasWithState(
-        step, out, "amounts bigint, shares bigint, started boolean", "append", GroupStateTimeout.EventTimeTimeout
+    spark = batch.sparkSession
+    rows, first = batch.agg(F.count("*"), F.min("arrival")).first()
+    hot = HotKeys("order_id") if rows <= SLICE_ROWS else hot_keys(batch, "order_id")
+    since = (first or dt.datetime.fromtimestamp(0)) - dt.timedelta(seconds=ttl_seconds)
+    known = sums.read(spark, sums.parts_of(batch), (run, batch_id)).where(F.col("last_at") >= F.lit(since))
+    allocated = allocate_amount(batch, hot, carried=known)
+    added = order_sums(batch, F.max("arrival").alias("last_at")).unionByName(known.join(batch.select("order_id"), "order_id", "left_semi"))
+    totals = added.groupBy("order_id").agg(
+        *[F.sum(c).alias(c) for c in ("amounts", "shares", "lines")], F.max("last_at").alias("last_at")
     )
-    return split.withColumns({c: money(F.col(c)) for c in [*_MONEY, "final_detail_amount"]})
+    return allocated, totals
+
+
+def newest_table(path: str) -> PartTable:
+    """The newest time that earlier batches held."""
+    return PartTable(path, "side string, newest timestamp", ("side",), buckets=1)
+
+
+def split_late(batch: DataFrame, newest: PartTable, run: str, batch_id: int, delay_seconds: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows in time, rows that a watermark of ``delay_seconds`` would drop, and the newest time to store.
+
+    A row is late when its ``timestamp`` lies ``delay_seconds`` or more before the newest of
+    earlier batches. A following job whose batches hold whole batches of this one knows no
+    newer time, so it drops none of the rows in time.
+    """
+    spark = batch.sparkSession
+    known = newest.read(spark, before=(run, batch_id)).agg(F.max("newest")).first()[0]
+    if known is None:
+        late = F.lit(False)
+    else:
+        late = F.col("timestamp") <= F.lit(known - dt.timedelta(seconds=delay_seconds))
+    after = batch.agg(F.lit("all").alias("side"), F.greatest(F.max("timestamp"), F.lit(known).cast("timestamp")).alias("newest"))
+    return batch.where(~late), batch.where(late), after
