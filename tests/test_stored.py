@@ -2,6 +2,7 @@
 
 import glob
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,9 +14,10 @@ from tidewater.functions.clock import epoch_seconds
 from tidewater.operators import trademark, wide
 from tidewater.operators.skew import HotKeys
 from tidewater.plans import queries, reports, stored
-from tidewater.sinks import parts, tables
+from tidewater.operators import search, skew
+from tidewater.sinks import pages, parts, tables
 from tidewater.sinks.parts import PartTable
-from tidewater.sinks.topics import to_records
+from tidewater.sinks.topics import kafka_sink_options, to_records, write_topic_batch
 from tidewater.sources.tables import read_table
 from tidewater.sources.topics import read_topic
 from tidewater.streaming import jobs, state
@@ -326,3 +328,109 @@ def test_stored_reports_read_their_months_only(spark, name):
     plan = queries.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.splitlines() if "FileScan" in line or "PartitionFilters" in line]
     assert scans and all("PartitionFilters: [isnotnull(month" in s for s in scans)
+
+
+# --- records sent again ---------------------------------------------------------------
+
+
+def test_a_batch_sent_twice_reaches_a_stream_once(spark, folder):
+    """Also records of equal content in one batch, or in two, all stay."""
+    sent, out, ck = f"{folder}/sent", f"{folder}/out", f"{folder}/ck"
+
+    def write(batch, values, run="r"):
+        write_topic_batch(record(spark, "T", batch, values), batch, job="j", run=run, path=sent)
+
+    def play():
+        source = read_topic(spark, "T", path=sent, once_within="10 minutes")
+        finish(source.writeStream.format("parquet").option("path", out), "copy", ck)
+
+    write(0, ["a", "a", "b"])
+    write(1, ["a", "c"])
+    play()
+    write(1, ["c", "a"])  # again, in another order and other files
+    write(2, ["d"])
+    play()
+    play()
+    assert rows(spark.read.parquet(out), "value") == [("a",), ("a",), ("a",), ("b",), ("c",), ("d",)]
+    assert read_table(spark, sent).select("record_id").distinct().count() == 6
+
+
+# --- search by index, pages -------------------------------------------------------------
+
+
+def test_index_search_equals_search(spark, folder):
+    names = ["red  apple", "RED-red", "blue", "", None, "über red!", "apple pie", "blue apple"]
+    data = spark.createDataFrame([(i, n, i % 3) for i, n in enumerate(names)], "id bigint, name string, price int")
+    t = PartTable(f"{folder}/rows", "id bigint, name string, price int", ("id",))
+    t.upsert(data, "r", 0, ["id"])
+    search.write_index(data, "name", "id", ["price", "id"], f"{folder}/index")
+    for keyword in ("red", "Red apple", "über", "none", "red red", "apple, BLUE"):
+        for start, size in ((0, 20), (1, 2), (50, 5)):
+            got = search.search_page(spark, f"{folder}/index", t, keyword, ["price", "id"], start, size)
+            want = reports.search_page(data, "name", keyword, ["price", "id"], start, size)
+            assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()], (keyword, start)
+    plan = search.read_index(spark, f"{folder}/index", "red")._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "PartitionFilters" in line)
+    assert "bucket#" in scan.split("PushedFilters")[0] and "EqualTo(term,red)" in scan.replace("In(term, [red])", "EqualTo(term,red)")
+
+
+def files_named(df):
+    """How many files the partition filter lets through."""
+    scan = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", df._jdf.queryExecution().executedPlan().toString(), re.S)[1]
+    if found := re.search(r"file#\d+L? IN \(([^)]*)\)", scan):
+        return len(found[1].split(","))
+    return len(re.findall(r"file#\d+L? = \d+", scan)) or 99
+
+
+def test_pages_equal_offsets_and_read_their_files_only(spark, folder):
+    data = spark.range(1000).selectExpr("id * 7 % 1000 AS n", "CAST(id * 7 % 1000 DIV 10 AS STRING) AS day", "id")
+    sort = ["day", "n"]
+    pages.write_sorted(data, folder, sort, file_rows=100)
+    every = [tuple(r) for r in data.orderBy(*sort).select("n", "day", "id").collect()]
+    last = None
+    for number in range(1, 36):
+        want = every[(number - 1) * 30 : number * 30]
+        by_number, after = pages.page(spark, folder, sort, number, 30), pages.page_after(spark, folder, sort, last, 30)
+        assert [tuple(r) for r in by_number.select("n", "day", "id").collect()] == want
+        assert [tuple(r) for r in after.select("n", "day", "id").collect()] == want
+        if want:
+            assert files_named(by_number) <= 2 and files_named(after) <= 3
+            last = (want[-1][1], want[-1][0])
+
+
+def test_pages_of_nothing(spark, folder):
+    pages.write_sorted(spark.createDataFrame([], "a int, b int"), folder, ["a"])
+    assert pages.page(spark, folder, ["a"], 1, 5).collect() == [] and pages.page_after(spark, folder, ["a"], [3], 5).collect() == []
+
+
+# --- lines of some days only ----------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", ["order_total_day", "order_hour_day", "hour_compare_day", "trademark_topn_range"])
+def test_lines_of_other_days_are_dropped_before_their_exchange(spark, name):
+    plan = queries.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    scans = [i for i, line in enumerate(plan) if "FileScan parquet" in line and "l_orderkey" in line]
+    assert scans
+    for i in scans:
+        # Going up from a scan of the lines, the join with the day's ids comes before any exchange.
+        level = depth(plan[i])
+        for line in reversed(plan[:i]):
+            if depth(line) < level:
+                level = depth(line)
+                assert "Exchange" not in line
+                if "LeftSemi" in line:
+                    break
+        else:
+            raise AssertionError("no semi-join over the lines")
+
+
+def test_many_wanted_keys_are_joined_by_a_shuffle(spark, monkeypatch):
+    lines = spark.range(100).withColumnRenamed("id", "k")
+    wanted = spark.createDataFrame([(3,), (3,), (5,), (None,)], "x bigint")
+    few = skew.only_keys(lines, "k", wanted)
+    monkeypatch.setattr(skew, "FEW_KEYS", 1)
+    many = skew.only_keys(lines, "k", wanted)
+    assert rows(few) == rows(many) == [(3,), (5,)]
+    assert "ResolvedHint (strategy=broadcast)" in few._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in many._jdf.queryExecution().analyzed().toString()

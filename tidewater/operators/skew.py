@@ -60,3 +60,18 @@ def repeat(df: DataFrame, hot: HotKeys) -> DataFrame:
         .withColumn(SLICE, F.explode(F.sequence(F.lit(0), last)))
         .withColumn(SLICES, last + 1)
     )
+
+
+# Keys up to which :func:`only_keys` sends them to every task: 8 bytes each.
+FEW_KEYS = 1_000_000
+
+
+def only_keys(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose ``key`` is in the one column of ``wanted``, sorted out before any exchange where keys are few.
+
+    Counts ``wanted`` at once. Up to :data:`FEW_KEYS` keys go to every task; beyond that Spark
+    joins as it sees fit.
+    """
+    (column,) = wanted.columns
+    keys = wanted.select(F.col(column).alias(key)).distinct()
+    return rows.join(F.broadcast(keys) if keys.count() <= FEW_KEYS else keys, key, "left_semi")

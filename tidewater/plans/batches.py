@@ -41,6 +41,14 @@ def kept(rows: DataFrame) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
+def new_table(rows: DataFrame, key: str) -> PartTable:
+    """``rows``, one a key, in buckets of the key."""
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    table = PartTable(new_folder(rows.sparkSession), ddl, (key,))
+    table.upsert(rows, RUN, 0, [key])
+    return table
+
+
 def upserted(changes: DataFrame, ddl: str, key: str, order_by: Sequence[str], turn: Column) -> DataFrame:
     """Latest row a key of a dimension whose changes come in three batches, ``turn`` 0 to 2."""
     spark, changes = changes.sparkSession, kept(changes.withColumn("_turn", turn))

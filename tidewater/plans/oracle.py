@@ -359,6 +359,8 @@ FROM groups""",
         "hour_compare_stored": "hour_compare_day",
         "trademark_range_stored": "trademark_topn_range",
         "dau_total_stored": "dau_total_day",
+        "search_index": "search_page",
+        "sale_detail_keyset": "sale_detail",
     }.items():
         sql[stored] = sql[whole]
     sql["brand_amount_sliding"] = _with(

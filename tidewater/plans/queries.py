@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from tidewater import schemas
 from tidewater.functions.clock import epoch_seconds, parse_time, text_time
 from tidewater.operators import dau as dau_ops
-from tidewater.operators import dims, orders, routing, trademark, wide
+from tidewater.operators import dims, orders, routing, search, trademark, wide
 from tidewater.operators.skew import HotKeys, hot_keys
 from tidewater.plans import batches, reports, stored
+from tidewater.sinks import pages
 from tidewater.sinks.parts import PartTable
 from tidewater.sinks.tables import latest_by_key
 from tidewater.sources import sample
@@ -28,6 +29,8 @@ ORDER_DAY, DAY_BEFORE = "1996-09-17", "1996-09-16"
 SALES_FROM, SALES_TO = "1996-07-01", "1996-12-31"
 # Lines from which ``order_split_sliced`` counts an order as dominant.
 FEW_LINES = 4
+# Rows of a file of the stored pages.
+PAGE_FILE_ROWS = 5000
 
 
 def _doubles(df: DataFrame) -> DataFrame:
@@ -61,12 +64,14 @@ def _orders(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _hot(spark: SparkSession, sf: str) -> HotKeys:
-    return hot_keys(sample.order_detail_keys(spark, sf), "order_id")
+def _hot(spark: SparkSession, sf: str, start: str | None = None, end: str | None = None) -> HotKeys:
+    return hot_keys(sample.order_detail_keys(spark, sf, start, end), "order_id")
 
 
-def _details(spark: SparkSession, sf: str, hot: HotKeys | None = None) -> DataFrame:
-    return orders.join_sku(sample.order_detail(spark, sf, hot), sample.sku_dim(spark, sf))
+def _details(
+    spark: SparkSession, sf: str, hot: HotKeys | None = None, start: str | None = None, end: str | None = None
+) -> DataFrame:
+    return orders.join_sku(sample.order_detail(spark, sf, hot, start, end), sample.sku_dim(spark, sf))
 
 
 def _wide(heads: DataFrame, lines: DataFrame, hot: HotKeys) -> DataFrame:
@@ -83,8 +88,8 @@ def _allocated(
 
 
 def _paid(spark: SparkSession, sf: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    hot = _hot(spark, sf)
-    return _allocated(spark, sf, sample.order_detail(spark, sf, hot), hot, start, end)
+    hot = _hot(spark, sf, start, end)
+    return _allocated(spark, sf, sample.order_detail(spark, sf, hot, start, end), hot, start, end)
 
 
 def _partly_stated(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
@@ -109,8 +114,8 @@ def _stat(spark: SparkSession, sf: str, start: str | None = None, end: str | Non
     created = epoch_seconds(parse_time(F.col("create_time")))
     bucket = F.floor(created / BATCH_SECONDS) * BATCH_SECONDS
     clock = text_time(parse_time(F.lit("1970-01-01")) + F.make_dt_interval(secs=bucket.cast("decimal(18,6)")))
-    hot = _hot(spark, sf)
-    return trademark.trademark_batch_stat(_allocated(spark, sf, _details(spark, sf, hot), hot, start, end), clock)
+    hot = _hot(spark, sf, start, end)
+    return trademark.trademark_batch_stat(_allocated(spark, sf, _details(spark, sf, hot, start, end), hot, start, end), clock)
 
 
 def _sales(spark: SparkSession, sf: str) -> DataFrame:
@@ -318,11 +323,12 @@ def realtime_total(spark: SparkSession, sf: str) -> DataFrame:
     return reports.realtime_total(dau_ops.dau_total(_dau(spark, sf)), reports.order_total(_paid(spark, sf)))
 
 
+def _priced_skus(spark: SparkSession, sf: str) -> DataFrame:
+    return sample.sku_dim(spark, sf).withColumns({"id": F.col("id").cast("bigint"), "price": F.col("price").cast(schemas.MONEY)})
+
+
 def search_page(spark: SparkSession, sf: str) -> DataFrame:
-    skus = sample.sku_dim(spark, sf).withColumns(
-        {"id": F.col("id").cast("bigint"), "price": F.col("price").cast(schemas.MONEY)}
-    )
-    return reports.search_page(skus, "sku_name", SEARCH_WORD, ["price", "id"], SEARCH_FROM, SEARCH_SIZE)
+    return reports.search_page(_priced_skus(spark, sf), "sku_name", SEARCH_WORD, ["price", "id"], SEARCH_FROM, SEARCH_SIZE)
 
 
 def sale_detail(spark: SparkSession, sf: str) -> DataFrame:
@@ -417,6 +423,25 @@ def trademark_range_stored(spark: SparkSession, sf: str) -> DataFrame:
     return stored.trademark_topn(_order_rollup(spark, sf), spark, SALES_FROM, SALES_TO)
 
 
+def search_index(spark: SparkSession, sf: str) -> DataFrame:
+    """``search_page`` by an inverted index over the names, and the rows of the page from their buckets."""
+    skus = _priced_skus(spark, sf)
+    table, index = batches.new_table(skus, "id"), batches.new_folder(spark)
+    search.write_index(skus, "sku_name", "id", ["price", "id"], index)
+    return search.search_page(spark, index, table, SEARCH_WORD, ["price", "id"], SEARCH_FROM, SEARCH_SIZE)
+
+
+def sale_detail_keyset(spark: SparkSession, sf: str) -> DataFrame:
+    """``sale_detail`` from matching lines stored in page order; the page starts behind the last key of the one before."""
+    sort = ["dt", "order_id", "order_detail_id"]
+    folder = batches.new_folder(spark)
+    pages.write_sorted(reports.sale_lines(_sales(spark, sf), keyword=SEARCH_WORD), folder, sort, PAGE_FILE_ROWS)
+    before = pages.page(spark, folder, sort, 1, SEARCH_SIZE).orderBy(*[F.desc(c) for c in sort]).first()
+    last = None if before is None else [before[c] for c in sort]
+    rows = pages.page_after(spark, folder, sort, last, SEARCH_SIZE)
+    return reports.sale_rows(rows, sample.user_info(spark, sf), sample.as_of())
+
+
 def dau_total_stored(spark: SparkSession, sf: str) -> DataFrame:
     starts = routing.route_app_log(sample.app_logs(spark, sf)).where(F.col("topic") == routing.START_TOPIC)
     table = batches.device_rollup(dau_ops.to_dau_info(decode(starts, schemas.START_LOG)))
@@ -476,6 +501,8 @@ _QUERIES = [
     hour_compare_stored,
     trademark_range_stored,
     dau_total_stored,
+    search_index,
+    sale_detail_keyset,
 ]
 
 

@@ -116,14 +116,18 @@ def sale_detail(
 
     User attributes are looked up for the page's rows only.
     """
+    lines = sale_lines(wide, date, keyword).orderBy("dt", "order_id", "order_detail_id")
+    return sale_rows(lines.offset((page - 1) * size).limit(size), users, as_of)
+
+
+def sale_lines(wide: DataFrame, date: str | None = None, keyword: str | None = None) -> DataFrame:
+    """What the detail page shows of the matching lines themselves."""
     columns = ["order_detail_id", "order_id", "user_id", "sku_id", "user_gender", "sku_price", "sku_name", "tm_id", "dt"]
-    rows = (
-        _sales(wide, date, keyword)
-        .select(*columns)
-        .orderBy("dt", "order_id", "order_detail_id")
-        .offset((page - 1) * size)
-        .limit(size)
-    )
+    return _sales(wide, date, keyword).select(*columns)
+
+
+def sale_rows(rows: DataFrame, users: DataFrame, as_of: Column) -> DataFrame:
+    """The rows of a page with the attributes of their users."""
     who = users.select(
         F.col("id").cast("bigint").alias("user_id"), age_on(F.col("birthday"), as_of).alias("user_age"), "user_level"
     )

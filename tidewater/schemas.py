@@ -55,6 +55,8 @@ DAU_INFO = (
 TRADEMARK_STAT = f"stat_date string, stat_time string, tm_id string, tm_name string, amount {MONEY}"
 
 TOPIC_ROW = "key string, value string, timestamp timestamp, topic string"
+# Names a record through repeated batches; records of other writers have none.
+RECORD_ID = "record_id"
 
 
 def names(ddl: str) -> list[str]:

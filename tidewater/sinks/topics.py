@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from tidewater.schemas import RECORD_ID
 from tidewater.sinks.tables import write_once
 
 
@@ -26,6 +27,19 @@ def kafka_sink_options(bootstrap: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": bootstrap, "kafka.enable.idempotence": "true"}
 
 
+def with_record_id(records: DataFrame, job: str, run: str | None, batch_id: int) -> DataFrame:
+    """Add ``record_id``: job, run, batch, content, and which of the batch's equal records it is.
+
+    Equal records are counted, combined before the shuffle, and numbered, so their order does not matter.
+    """
+    columns = ["key", "value", "timestamp", "topic"]
+    counted = records.groupBy(*columns).agg(F.count("*").alias("_copies"))
+    numbered = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")))
+    content = F.concat_ws("\u0001", "topic", F.coalesce("key", F.lit("")), F.coalesce("value", F.lit("")), F.col("timestamp").cast("string"))
+    batch = f"{job}/{run or ''}/{batch_id}/"
+    return numbered.select(*columns, F.concat(F.lit(batch), F.substring(F.sha2(content, 256), 1, 32), F.lit("/"), "_copy").alias(RECORD_ID))
+
+
 def write_topic_batch(
     records: DataFrame,
     batch_id: int,
@@ -39,10 +53,14 @@ def write_topic_batch(
 
     In a folder every ``job``, and every ``run`` of it, numbers its own batches, so several
     may write to one folder. A batch sent again gets new file names: table readers see its
-    rows once, a stream that had read the old files reads them again.
+    rows once, a stream that had read the old files reads them again. Every record carries
+    an id that is the same when its batch is sent again, by which ``read_topic`` with
+    ``once_within`` leaves out what it has read.
     """
+    records = with_record_id(records, job, run, batch_id)
     if bootstrap:
-        records.select("key", "value", "topic").write.format("kafka").options(
+        header = F.array(F.struct(F.lit(RECORD_ID).alias("key"), F.col(RECORD_ID).cast("binary").alias("value")))
+        records.select("key", "value", "topic", header.alias("headers")).write.format("kafka").options(
             **kafka_sink_options(bootstrap)
         ).save()
     else:

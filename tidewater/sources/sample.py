@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewater import schemas
 from tidewater.functions.clock import epoch_millis, parse_time, text_time
-from tidewater.operators.skew import HotKeys
+from tidewater.operators.skew import HotKeys, only_keys
 from tidewater.sources.tables import empty_table
 
 AS_OF = "2024-01-01"
@@ -160,8 +160,18 @@ def sku_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- facts ------------------------------------------------------------------
 
 
-def order_detail(spark: SparkSession, sf_dir: str, hot: HotKeys | None = None) -> DataFrame:
-    """Order lines; the id is unique within an order and grows with the line number.
+def _lineitem(spark: SparkSession, sf_dir: str, start: str | None, end: str | None) -> DataFrame:
+    """Lines of the orders of some days, of all when open."""
+    lines = table(spark, sf_dir, "lineitem")
+    if start is None and end is None:
+        return lines
+    return only_keys(lines, "l_orderkey", _days(table(spark, sf_dir, "orders"), "o_orderdate", start, end).select("o_orderkey"))
+
+
+def order_detail(
+    spark: SparkSession, sf_dir: str, hot: HotKeys | None = None, start: str | None = None, end: str | None = None
+) -> DataFrame:
+    """Order lines, of the orders of some days if given; the id is unique within an order and grows with the line number.
 
     Digits of the id: line number, SKU (11), ship day (4), repeat of the three (2).
     Where no order is known to dominate, the numbering shuffles by order, which
@@ -177,7 +187,7 @@ def order_detail(spark: SparkSession, sf_dir: str, hot: HotKeys | None = None) -
         + F.col("_repeat")
     )
     part = table(spark, sf_dir, "part").select("p_partkey", _price("p_retailprice").alias("order_price"), "p_name")
-    lineitem = table(spark, sf_dir, "lineitem")
+    lineitem = _lineitem(spark, sf_dir, start, end)
     if hot is not None and not hot:
         lineitem = lineitem.repartition("l_orderkey")
     return (
@@ -197,9 +207,9 @@ def order_detail(spark: SparkSession, sf_dir: str, hot: HotKeys | None = None) -
     )
 
 
-def order_detail_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_detail_keys(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
     """Only the order id of every line: the cheapest scan to look for hot orders."""
-    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("order_id"))
+    return _lineitem(spark, sf_dir, start, end).select(F.col("l_orderkey").alias("order_id"))
 
 
 def order_info(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
@@ -209,7 +219,7 @@ def order_info(spark: SparkSession, sf_dir: str, start: str | None = None, end:
     """
     part = table(spark, sf_dir, "part").select("p_partkey", _price("p_retailprice").alias("_price"))
     totals = (
-        table(spark, sf_dir, "lineitem")
+        _lineitem(spark, sf_dir, start, end)
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("l_orderkey")
         .agg(F.sum(F.col("_price") * F.col("l_quantity").cast("bigint")).cast(schemas.MONEY).alias("_original"))

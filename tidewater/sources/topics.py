@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.schemas import TOPIC_ROW
+from tidewater.schemas import RECORD_ID, TOPIC_ROW
 
 
 def kafka_source_options(
@@ -60,18 +60,32 @@ def read_topic(
     starting_offsets: str = "latest",
     max_files_per_trigger: int | None = None,
     max_offsets_per_trigger: int | None = None,
+    once_within: str | None = None,
 ) -> DataFrame:
-    """Stream of ``key, value, timestamp`` records of one topic."""
+    """Stream of ``key, value, timestamp`` records of one topic.
+
+    With ``once_within``, a length of time, a record that its writer sent again within so long
+    of event time comes once, known by its record id; ids are kept for as long. Records further
+    behind the newest than that may be left out, and so the result has a watermark. All records
+    of the topic must carry ids, as those of ``write_topic_batch`` do.
+    """
     if bootstrap:
         options = kafka_source_options(bootstrap, topic, group, starting_offsets, max_offsets_per_trigger)
+        if once_within:
+            options["includeHeaders"] = "true"
         records = spark.readStream.format("kafka").options(**options).load()
+        if once_within:
+            mine = F.filter("headers", lambda h: h["key"] == RECORD_ID)
+            records = records.withColumn(RECORD_ID, F.get(mine, 0)["value"].cast("string"))
     elif path:
-        reader = spark.readStream.schema(TOPIC_ROW)
+        reader = spark.readStream.schema(f"{TOPIC_ROW}, {RECORD_ID} string" if once_within else TOPIC_ROW)
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
         records = reader.parquet(path).where(F.col("topic") == topic)
     else:
         raise ValueError("name a Kafka bootstrap address or a folder")
+    if once_within:
+        records = records.withWatermark("timestamp", once_within).dropDuplicatesWithinWatermark([RECORD_ID])
     return records.select(
         F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), "timestamp"
     )
