@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL
 from oracle_check import compare, connect
-from tidewater.llm import pii, whitening, zone_clusters
+from tidewater.llm import language, neardup, pii, whitening, zone_clusters
 from tidewater.llm.tables import read
 
 VECTORS = "vec_id bigint, embedding array<float>, id string, x int, cluster string"
@@ -311,3 +311,71 @@ def test_personal_data_runs_no_python(spark):
     found = pii.digests(pii.find(read(spark, SMALL, "documents")))
     plan = found._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+# --- near duplicates of documents that share an id ----------------------------------
+
+
+def shingle_set(text, width):
+    words = (text or "").lower().split()
+    k = min(width, len(words))
+    return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)} if words else set()
+
+
+def brute_rows(rows, width, percent):
+    """Component of every row, each a node of its own text; equal texts are one node."""
+    texts = {t: shingle_set(t, width) for _, t in rows}
+    root = {t: t for t in texts}
+
+    def find(t):
+        while root[t] != t:
+            t = root[t]
+        return t
+
+    for a, b in itertools.combinations(texts, 2):
+        both = len(texts[a] & texts[b])
+        if texts[a] and texts[b] and 100 * both >= percent * len(texts[a] | texts[b]):
+            root[find(a)] = find(b)
+    least = {}
+    for i, t in rows:
+        if texts[t] and i is not None:
+            least[find(t)] = min(least.get(find(t), i), i)
+    return sorted((i, len(texts[t]), least[find(t)] if texts[t] and i is not None else i) for i, t in rows)
+
+
+def test_groups_of_ids_with_several_texts_equal_brute_force(spark):
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    base = [" ".join(rnd.choice(words) for _ in range(200)) for _ in range(12)]
+    near = lambda t: " ".join(rnd.choice(words) if rnd.random() < 0.008 else w for w in t.split())
+    rows = [(9, base[0]), (7, near(base[0])), (7, base[1]), (8, near(base[1]))]  # 8 and 9 share nothing
+    rows += [(20 + i, near(base[rnd.randint(0, 5)])) for i in range(40)]
+    rows += [(20 + i, near(base[rnd.randint(4, 11)])) for i in range(0, 40, 3)]
+    rows += [(21, base[2]), (21, base[2]), (5, base[6]), (5, base[7]), (5, ""), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in neardup.groups(docs, 3, 85).collect())
+    assert got == brute_rows(rows, 3, 85)
+
+
+# --- texts of no learned language ------------------------------------------------------
+
+
+def test_texts_of_other_languages_and_junk_go_and_learned_ones_stay(spark):
+    docs = read(spark, "/root/testdata/sf0.01", "documents")
+    rnd = random.Random(1)
+    letters = lambda n: " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(3, 9))) for _ in range(n))
+    planted = [
+        "Сегодня утром мы пошли в парк и долго гуляли по дорожкам среди деревьев",
+        "今日は朝から公園に行って、木々の間を長い間歩きました。とても楽しかったです",
+        letters(60),
+        letters(500),
+        "qwxz zxqw " * 50,
+    ]
+    schema = docs.schema
+    rows = [(10**6 + i, t, "en", "planted", len(t)) for i, t in enumerate(planted)] + [(10**6 + 50, "the", "en", "planted", 3)]
+    every = docs.unionByName(spark.createDataFrame(rows, schema))
+    kept = {r["doc_id"] for r in language.keep_known(every, language.train(docs)).select("doc_id").collect()}
+    assert not kept & {10**6 + i for i in range(len(planted))} and 10**6 + 50 in kept
+    held = {r["doc_id"] for r in docs.where("crc32(CAST(doc_id AS STRING)) % 5 = 0").select("doc_id").collect()}
+    assert len(held & kept) >= 0.99 * len(held)
+    assert len(kept) >= 0.99 * docs.count()

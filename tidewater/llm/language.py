@@ -23,6 +23,8 @@ ORDERS = (1, 2, 3, 4)
 # Hash buckets of the character runs: the model has this many numbers a language.
 BITS = 15
 UNKNOWN = "und"
+# Likeness that a text needs in the pipeline, and what a text of one run may fall short of it.
+LIKE, SHORT = 0.62, 2.0
 _FLUSH_WORDS = 100_000
 
 
@@ -84,27 +86,43 @@ def train(docs: DataFrame) -> dict:
     return {"langs": langs, "matrix": matrix.T.astype(np.float32), "prior": np.log(prior / max(1, prior.sum()))}
 
 
+def likeness(model: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Of each language, the mean log-probability of a run of its own texts and of a run drawn at random."""
+    matrix = model["matrix"].astype(float)
+    return (np.exp(matrix) * matrix).sum(0), matrix.mean(0)
+
+
 def _judge(model: dict):
-    """Function from texts to language indexes (-1: unknown) and scores."""
+    """Function from texts to language indexes (-1: unknown), scores, and likeness.
+
+    The posterior compares the learned languages only and is near 1 for any text. Likeness says
+    whether the best of them fits at all: the text's mean log-probability a run, 1 where it is
+    that of the language's own texts and 0 where it is that of random runs.
+    """
     matrix, prior = model["matrix"], model["prior"]
     width = len(model["langs"])
 
     def words(new: list[bytes]) -> np.ndarray:
         runs = CharGrams([w.decode("utf-8", "replace") for w in new], max(ORDERS))
         gained = sum(matrix[_buckets(runs, order)].astype(float) for order in ORDERS)
-        return segment_sum(gained, runs.first)
+        places = np.full((len(gained), 1), float(len(ORDERS)))
+        return segment_sum(np.hstack([gained, places]), runs.first)
 
-    scorer = WordScores(words, width)
+    scorer = WordScores(words, width + 1)
+    own, random = likeness(model) if width else (0, 0)
 
     def judge(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         heard = np.array([bool(t) and any(map(str.isalpha, t)) for t in texts], bool)
         if not width:
-            return np.full(len(texts), -1), np.zeros(len(texts))
+            return np.full(len(texts), -1), np.zeros(len(texts)), np.zeros((len(texts), 2))
         rows, ends = scorer.rows([letter_words(t) for t in texts])
-        total = segment_sum(rows, ends) + prior
+        summed = segment_sum(rows, ends)
+        total, runs = summed[:, :width] + prior, summed[:, width]
         best = total.argmax(1)
         share = 1 / np.exp(np.minimum(total - total.max(1, keepdims=True), 0)).sum(1)
-        return np.where(heard, best, -1), np.where(heard, share, 0.0)
+        mean = summed[np.arange(len(best)), best] / np.maximum(runs, 1)
+        like = (mean - random[best]) / (own - random)[best]
+        return np.where(heard, best, -1), np.where(heard, share, 0.0), np.stack([like, runs], 1)
 
     return judge
 
@@ -116,7 +134,7 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge, names = _judge(shared.value), [*shared.value["langs"], UNKNOWN]
         for batch in small_batches(batches):
-            best, share = judge(batch.column("text").to_pylist())
+            best, share, _ = judge(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array([names[i] for i in best], pa.string()), pa.array(share)],
                 ["doc_id", "held_out", "lang_pred", "score"],
@@ -127,13 +145,17 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, model: dict, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is found with a score of ``least`` or more."""
+    """The rows of ``docs``, all columns, whose language is found with a score of ``least`` or more, and fits.
+
+    A text fits if its likeness is at least ``LIKE``, or less for short ones, whose mean varies.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = _judge(shared.value)
         for batch in small_batches(batches):
-            best, share = judge(batch.column("text").to_pylist())
-            yield batch.filter(pa.array((best >= 0) & (share >= least)))
+            best, share, fit = judge(batch.column("text").to_pylist())
+            fits = fit[:, 0] >= LIKE - SHORT / np.sqrt(np.maximum(fit[:, 1], 1))
+            yield batch.filter(pa.array((best >= 0) & (share >= least) & fits))
 
     return docs.mapInArrow(run, docs.schema)

@@ -2,20 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a local one only where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+from tidewater.session import checkpoint_root
 
 
 def keep(df: DataFrame) -> DataFrame:
@@ -24,7 +16,7 @@ def keep(df: DataFrame) -> DataFrame:
     The table stays for as long as the result may be read; the owner of the shared
     folder clears it with the application.
     """
-    path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(df.sparkSession)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
