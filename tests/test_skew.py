@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tidewater.operators import wide
+from tidewater.operators import skew, wide
 from tidewater.operators.skew import SLICE, HotKeys, deal, hot_keys
 
 N = 3000
@@ -100,3 +100,24 @@ def test_surplus_lines_leave_the_completing_line_alone(spark):
     for hot in (HotKeys("order_id"), hot_keys(df, "order_id", slice_rows=2)):
         split = wide.allocate_amount(df.withColumn("final_detail_amount", F.lit(0)), hot)
         assert [str(r[0]) for r in split.orderBy("order_detail_id").select("final_detail_amount").collect()] == ["16.67", "16.67", "16.66", "5.00"]
+
+
+def test_sketch_and_exact_counts_find_the_same_keys(spark, monkeypatch):
+    """Many near misses, keys of both kinds, nulls; the sketch loses none and adds none."""
+    data = spark.range(200_000).select(
+        F.when(F.col("id") % 10 == 0, 1).when(F.col("id") % 10 == 1, F.col("id") % 7 + 10).when(F.col("id") % 10 == 2, None)
+        .otherwise(F.col("id") % 50_021 + 1000).cast("bigint").alias("k")
+    ).withColumn("text", F.concat(F.lit("key "), "k"))
+    for key in ("k", "text"):
+        for slice_rows in (1000, 2857, 2858, 5000, 19_999, 20_000):
+            counts = data.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > slice_rows)
+            want = sorted((r[key], -(-r["count"] // slice_rows)) for r in counts.collect())
+            for tracked in (500_000, 0):
+                monkeypatch.setattr(skew, "MOST_TRACKED", tracked)
+                hot = hot_keys(data, key, slice_rows)
+                assert (sorted(tuple(r) for r in hot.table.collect()) if hot else []) == want, (key, slice_rows, tracked)
+
+
+def test_a_table_smaller_than_a_slice_is_only_counted(spark, monkeypatch):
+    monkeypatch.setattr(skew.F, "call_function", None)
+    assert not hot_keys(spark.range(100).selectExpr("1L AS k"), "k", 100)
