@@ -35,7 +35,7 @@ class HotKeys:
 
 
 # Keys that the sketch of :func:`hot_keys` may track; beyond that keys are counted exactly at once.
-MOST_TRACKED = 500_000
+MOST_TRACKED = 50_000
 
 
 def hot_keys(df: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> HotKeys:
