@@ -4,15 +4,19 @@ Equal vectors form a class; the graph is over classes, and a found class stands
 members with the smallest ids, so that ties come out whole and large groups of copies
 cost one node.
 
-The graph starts from the best of some blocks of vectors on the same sides of random
+The graph starts from the best of some small blocks of vectors on the same sides of random
 planes. Then, in each iteration, every node meets its neighbours and a sample of the nodes
 that have it as a neighbour; pairs of which one is new are compared, and better ones
-replace the worst of both ends. Nodes are dealt into parts of bounded size. A part asks
-for the vectors its lists name by a join, compares in numpy and sends back improvements,
-which are merged by a second shuffle. Queries walk the finished graph in rounds of the
-same kind: each expands the best nodes of its pool that it has not expanded yet.
-
-The sizes below belong to the method and do not grow with the data. Lists and blocks leave
+replace the worst of both ends. It ends when few entries are new. Nodes meet in small
+parts: a part asks for the vectors its lists name by a join, compares in numpy and sends
+back improvements, which are merged by a second shuffle. What a part asks for hardly
+overlaps, at any size, so that the traffic is a fixed number of vectors a node. A query
+starts with its own list and expands the best nodes of its pool that it has not expanded
+yet, until there is none; it asks for no vector twice.
+
+Graph and search compare single-precision vectors, all divided by the largest component.
+The pools found are compared again in double precision on the original vectors. The sizes
+below belong to the method and are the same for every table. Lists and blocks leave
 candidates out, so the result is approximate; tests measure recall against brute force.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, neither do
@@ -36,20 +40,20 @@ from tidewater.llm.tables import keep
 # Neighbours of a node, and sampled nodes that have it as a neighbour.
 NEIGHBOURS, REVERSE = 50, 30
 # Vectors of a starting block, and different sets of planes.
-BLOCK, STARTS = 4096, 3
-# Nodes of a part, and queries of a part.
-PART, QUERY_PART = 4096, 512
-ITERATIONS = 4
+BLOCK, STARTS = 256, 8
+# Nodes that meet in a part, nodes whose lists are merged in one, and queries of one.
+PART, MERGE_PART, QUERY_PART = 64, 4096, 8
 # Share of new list entries below which the descent ends.
-SETTLED = 0.03
-# Pool of a query, nodes it expands in a round, and rounds.
-POOL, EXPAND, ROUNDS = 200, 40, 5
+SETTLED = 0.02
+# Pool of a query, and nodes it expands in a round.
+POOL, EXPAND = 90, 20
 # Groups side by side when a hot key's rows are thinned out.
 _SALTS = 16
 
 _LISTS = "nbrs array<bigint>, scores array<float>, fresh array<boolean>"
-_MESSAGE = "part bigint, kind int, a bigint, b bigint, least float, ids array<bigint>, flags array<boolean>, vec binary"
+_MESSAGE = "part bigint, kind int, a bigint, b bigint, least float, ids array<bigint>, flags array<boolean>, scores array<float>, more array<bigint>, seen array<bigint>, vec binary"
 _BUNDLE = "part bigint, own bigint, src array<bigint>, " + _LISTS
+_STATE = "query bigint, ids array<bigint>, scores array<float>, done array<boolean>, seen array<bigint>"
 
 
 def _part(key: str | Column, parts: int) -> Column:
@@ -69,10 +73,10 @@ def _flat(column) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
 
 
-def _matrix(column) -> np.ndarray:
-    """Vectors of a binary column; all have 8 bytes a component."""
+def _matrix(column, kind=np.float32) -> np.ndarray:
+    """Vectors of a binary column; all are equally long."""
     rows = column.to_pylist()
-    return np.frombuffer(b"".join(rows)).reshape(len(rows), -1) if rows else np.zeros((0, 0))
+    return np.frombuffer(b"".join(rows), kind).reshape(len(rows), -1) if rows else np.zeros((0, 0), kind)
 
 
 def _best(src: np.ndarray, dst: np.ndarray, score: np.ndarray, fresh: np.ndarray, most: int):
@@ -121,21 +125,38 @@ def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
     return rows.mapInArrow(pack, "id bigint, vec binary").distinct()
 
 
-def _start(nodes: DataFrame, n: int, seed: int) -> DataFrame:
-    """``(id, nbrs, scores, fresh)``: the best neighbours of each node inside one block."""
+def light(nodes: DataFrame) -> DataFrame:
+    """``nodes`` in single precision, divided by the largest component of all."""
+
+    def peaks(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([float(np.abs(_matrix(batch.column("vec"), np.float64)).max(initial=0))])], ["peak"])
+
+    peak = nodes.select("vec").mapInArrow(peaks, "peak double").agg(F.max("peak")).first()[0] or 1.0
+
+    def shrink(batches):
+        for batch in batches:
+            rows = (_matrix(batch.column("vec"), np.float64) / peak).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([r.tobytes() for r in rows], pa.binary())], ["id", "vec"])
+
+    return nodes.select("id", "vec").mapInArrow(shrink, "id bigint, vec binary")
+
+
+def _start(nodes: DataFrame, n: int) -> DataFrame:
+    """``(id, nbrs, scores, fresh)``: the best neighbours of each node inside a block, for each set of planes."""
     bits = max(0, int(math.log2(max(1, n / BLOCK))))
 
     def sides(batches):
-        planes = None
         for batch in batches:
             vectors = _matrix(batch.column("vec"))
-            if planes is None and len(vectors):
+            for seed in range(STARTS):
                 planes = np.random.default_rng(seed).normal(size=(vectors.shape[1], bits))
-            cell = (vectors @ planes > 0) @ (1 << np.arange(bits)) if len(vectors) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("vec"), pa.array(cell.astype(np.int64))], ["id", "vec", "cell"])
+                cell = (vectors @ planes > 0) @ (1 << np.arange(bits)) if len(vectors) else np.zeros(0)
+                columns = [batch.column("id"), batch.column("vec"), pa.array(np.full(len(cell), seed, np.int32)), pa.array(cell.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "vec", "seed", "cell"])
 
     def block(table: pa.Table) -> pa.Table:
-        ids, vectors = table.column("id").to_numpy(), _matrix(table.column("vec")).astype(np.float32)
+        ids, vectors = table.column("id").to_numpy(), _matrix(table.column("vec"))
         most = min(NEIGHBOURS, len(ids) - 1)
         dst, score = np.zeros((len(ids), most), np.int64), np.zeros((len(ids), most), np.float32)
         for i in range(0, len(ids), 1024) if most else ():
@@ -146,12 +167,12 @@ def _start(nodes: DataFrame, n: int, seed: int) -> DataFrame:
         lists = [_ragged(list(x), k) for x, k in ((dst, pa.int64()), (score, pa.float32()), (np.ones_like(dst, bool), pa.bool_()))]
         return pa.table([table.column("id"), *lists], names=["id", "nbrs", "scores", "fresh"])
 
-    cells = keep(nodes.select("id", "vec").mapInArrow(sides, "id bigint, vec binary, cell bigint"))
-    counts = cells.groupBy("cell").count()
-    blocks = cells.join(counts, "cell").withColumn(
-        "block", F.pmod(F.xxhash64(F.lit(seed), "id"), F.ceil(F.col("count") / BLOCK))
+    cells = keep(nodes.select("id", "vec").mapInArrow(sides, "id bigint, vec binary, seed int, cell bigint"))
+    counts = cells.groupBy("seed", "cell").count()
+    blocks = cells.join(counts, ["seed", "cell"]).withColumn(
+        "block", F.pmod(F.xxhash64("seed", "id"), F.ceil(F.col("count") / BLOCK))
     )
-    return blocks.select("id", "vec", "cell", "block").groupBy("cell", "block").applyInArrow(block, f"id bigint, {_LISTS}")
+    return blocks.select("id", "vec", "seed", "cell", "block").groupBy("seed", "cell", "block").applyInArrow(block, f"id bigint, {_LISTS}")
 
 
 def _bundles(lists: DataFrame, parts: int) -> DataFrame:
@@ -177,18 +198,18 @@ def _merge(bundles: DataFrame) -> DataFrame:
     return bundles.groupBy("part").applyInArrow(best, f"id bigint, {_LISTS}")
 
 
-def _reverse(graph: DataFrame) -> DataFrame:
-    """``(id, sources, fresh)``: a sample of the nodes that have ``id`` as a neighbour.
+def _reverse(graph: DataFrame, turn: int) -> DataFrame:
+    """``(id, sources, met)``: a sample of the nodes that have ``id`` as a neighbour, another one each ``turn``.
 
     Popular nodes are thinned out in salted groups, none of which gathers all of them.
     """
     edges = graph.select(F.col("id").alias("source"), F.explode(F.arrays_zip("nbrs", "fresh")).alias("e"))
     edges = edges.select(F.col("e.nbrs").alias("id"), "source", F.col("e.fresh").alias("fresh"))
     for group in (["id", F.pmod(F.xxhash64("source"), F.lit(_SALTS))], ["id"]):
-        rank = F.row_number().over(Window.partitionBy(*group).orderBy(F.xxhash64("source", "id"), "source"))
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy(F.xxhash64(F.lit(turn), "source", "id"), "source"))
         edges = edges.withColumn("rank", rank).where(F.col("rank") <= REVERSE).drop("rank")
     lists = edges.groupBy("id").agg(F.collect_list(F.struct("source", "fresh")).alias("e"))
-    return lists.select("id", F.col("e.source").alias("sources"), F.col("e.fresh").alias("fresh"))
+    return lists.select("id", F.col("e.source").alias("sources"), F.col("e.fresh").alias("met"))
 
 
 def _message(df: DataFrame, **given: Column | str) -> DataFrame:
@@ -207,18 +228,22 @@ def _vectors_of(wanted: DataFrame, nodes: DataFrame, **also: Column) -> DataFram
     return _message(wanted.join(nodes, "id"), part="part", kind=F.lit(2), a="id", vec="vec", **also)
 
 
-def _descend(graph: DataFrame, nodes: DataFrame, parts: int) -> DataFrame:
+def _descend(graph: DataFrame, nodes: DataFrame, parts: int, merge_parts: int, turn: int) -> DataFrame:
     """One iteration: the graph with all improvements that its neighbourhoods offer."""
-    reverse = keep(_reverse(graph))
-    forward = graph.select(_part("id", parts).alias("part"), F.explode("nbrs").alias("id"))
-    wanted = forward.unionAll(reverse.select(_part("id", parts).alias("part"), F.explode("sources").alias("id"))).distinct()
+    nothing = F.array().cast("array<bigint>")
+    lists = graph.join(_reverse(graph, turn), "id", "left").select(
+        _part("id", parts).alias("part"),
+        "id",
+        F.concat("nbrs", F.coalesce("sources", nothing)).alias("ids"),
+        F.concat("fresh", F.coalesce("met", F.array().cast("array<boolean>"))).alias("flags"),
+    )
+    lists = keep(lists.where(F.exists("flags", lambda x: x)))
+    wanted = lists.select("part", F.explode("ids").alias("id")).distinct()
     # With each vector goes the least score that would enter its node's list.
     least = F.when(F.size("scores") >= NEIGHBOURS, F.element_at("scores", -1)).otherwise(F.lit(float("-inf")))
     bounds = nodes.join(graph.select("id", least.alias("least")), "id")
-    messages = (
-        _message(graph, part=_part("id", parts), kind=F.lit(0), a="id", ids="nbrs", flags="fresh")
-        .unionAll(_message(reverse, part=_part("id", parts), kind=F.lit(1), a="id", ids="sources", flags="fresh"))
-        .unionAll(_vectors_of(wanted, bounds, b=_part("id", parts), least=F.col("least")))
+    messages = _message(lists, part="part", kind=F.lit(0), a="id", ids="ids", flags="flags").unionAll(
+        _vectors_of(wanted, bounds, b=_part("id", merge_parts), least=F.col("least"))
     )
 
     def compare(table: pa.Table) -> pa.Table:
@@ -226,7 +251,7 @@ def _descend(graph: DataFrame, nodes: DataFrame, parts: int) -> DataFrame:
         listed, met = table.filter(pa.array(kind < 2)), table.filter(pa.array(kind == 2))
         ids = met.column("a").to_numpy()
         order = np.argsort(ids)
-        ids, vectors = ids[order], _matrix(met.column("vec"))[order].astype(np.float32)
+        ids, vectors = ids[order], _matrix(met.column("vec"))[order]
         home, least = (met.column(c).to_numpy()[order] for c in ("b", "least"))
         nbr, ends = _flat(listed.column("ids"))
         node, new = np.repeat(listed.column("a").to_numpy(), np.diff(ends)), _flat(listed.column("flags"))[0].astype(bool)
@@ -268,85 +293,100 @@ def _descend(graph: DataFrame, nodes: DataFrame, parts: int) -> DataFrame:
     better = messages.groupBy("part").applyInArrow(compare, _BUNDLE)
     # What this iteration compared is not new any more.
     old = graph.select("id", "nbrs", "scores", F.transform("fresh", lambda x: F.lit(False)).alias("fresh"))
-    return _merge(_bundles(old, parts).unionAll(better))
+    return _merge(_bundles(old, merge_parts).unionAll(better))
 
 
 def build_graph(nodes: DataFrame) -> DataFrame:
-    """``(id, nbrs, scores, fresh)`` of the nodes ``(id, vec)``, whose vectors differ."""
+    """``(id, nbrs, scores, fresh)`` of the nodes ``(id, vec)``, whose single-precision vectors differ."""
     n = nodes.count()
-    parts = max(1, math.ceil(n / PART))
-    starts = [_start(nodes, n, seed) for seed in range(STARTS if n > BLOCK else 1)]
-    lists = starts[0]
-    for more in starts[1:]:
-        lists = lists.unionAll(more)
-    graph = keep(_merge(_bundles(lists, parts)))
-    for _ in range(ITERATIONS if n > BLOCK else 0):
-        graph = keep(_descend(graph, nodes, parts))
+    parts, merge_parts = max(1, math.ceil(n / PART)), max(1, math.ceil(n / MERGE_PART))
+    graph, turn, fresh = keep(_merge(_bundles(_start(nodes, n), merge_parts))), 0, 1.0 if n > 1 else 0.0
+    while fresh > SETTLED:
+        graph, turn = keep(_descend(graph, nodes, parts, merge_parts, turn)), turn + 1
         fresh = graph.agg(F.avg(F.size(F.filter("fresh", lambda x: x)) / F.greatest(F.size("fresh"), F.lit(1)))).first()[0]
-        if fresh < SETTLED:
-            break
     return graph
 
 
 def search_graph(graph: DataFrame, nodes: DataFrame, queries: DataFrame) -> DataFrame:
-    """``(query, ids, scores)``: the pool of every query node ``(id)`` after all rounds, nearest first."""
+    """``(query, ids)``: the pool of every query node ``(id)`` with nothing left to expand, itself first."""
+    nothing = F.array().cast("array<bigint>")
     links = keep(
-        graph.join(_reverse(graph).select("id", "sources"), "id", "left").select(
-            "id", F.array_union("nbrs", F.coalesce("sources", F.array().cast("array<bigint>"))).alias("links")
-        )
+        graph.join(_reverse(graph, -1), "id", "left").select("id", F.array_union("nbrs", F.coalesce("sources", nothing)).alias("links"))
     )
     parts = max(1, math.ceil(queries.count() / QUERY_PART))
-    # A query starts at its own node; pools hold scores in double precision.
-    state = queries.select(
-        _part("id", parts).alias("part"), F.col("id").alias("query"), F.array("id").alias("ids"), F.array(F.lit(-1.0e308)).alias("scores"), F.array(F.lit(False)).alias("done")
+    own = F.array("id")
+    state = keep(
+        graph.join(queries, "id").select(
+            F.col("id").alias("query"),
+            F.concat(own, "nbrs").alias("ids"),
+            F.concat(F.array(F.lit(float("inf")).cast("float")), "scores").alias("scores"),
+            F.concat(F.array(F.lit(False)), F.transform("nbrs", lambda x: F.lit(False))).alias("done"),
+            F.concat(own, "nbrs").alias("seen"),
+        )
     )
 
     def step(table: pa.Table) -> pa.Table:
         kind = table.column("kind").to_numpy()
-        pools, asked, met = (table.filter(pa.array(kind == k)) for k in (0, 1, 2))
+        pools, met = (table.filter(pa.array(kind == k)) for k in (0, 2))
         ids = met.column("a").to_numpy()
         order = np.argsort(ids)
         ids, vectors = ids[order], _matrix(met.column("vec"))[order]
-        links, ends = _flat(asked.column("ids"))
-        by_query = np.argsort(asked.column("a").to_numpy(), kind="stable")
-        asked_of = asked.column("a").to_numpy()[by_query]
         pool_ids, pool_ends = _flat(pools.column("ids"))
-        flags = _flat(pools.column("flags"))[0].astype(bool)
+        flags, held = (_flat(pools.column(c))[0] for c in ("flags", "scores"))
+        (more, more_ends), (seen, seen_ends) = (_flat(pools.column(c)) for c in ("more", "seen"))
         out = []
         for i, query in enumerate(pools.column("a").to_numpy()):
-            own = slice(pool_ends[i], pool_ends[i + 1])
-            rows = by_query[np.searchsorted(asked_of, query) : np.searchsorted(asked_of, query, "right")]
-            expanded = asked.column("b").to_numpy()[rows]
-            reached = np.concatenate([pool_ids[own], *(links[ends[r] : ends[r + 1]] for r in rows)]).astype(np.int64)
-            near = np.unique(reached)
-            score = vectors[np.searchsorted(ids, near)] @ vectors[np.searchsorted(ids, query)]
+            pool, new = slice(pool_ends[i], pool_ends[i + 1]), more[more_ends[i] : more_ends[i + 1]]
+            score = vectors[np.searchsorted(ids, new)] @ vectors[np.searchsorted(ids, query)]
+            near, score = np.concatenate([pool_ids[pool], new]), np.concatenate([held[pool], score])
+            done = np.concatenate([flags[pool].astype(bool), np.zeros(len(new), bool)])
             top = np.lexsort((near, -score))[:POOL]
-            done = np.isin(near[top], pool_ids[own][flags[own]]) | np.isin(near[top], expanded)
-            out.append((query, near[top], score[top], done))
-        columns = list(zip(*out)) or [()] * 4
-        return pa.table(
-            [pa.array(columns[0], pa.int64()), *(_ragged(list(c), k) for c, k in zip(columns[1:], (pa.int64(), pa.float64(), pa.bool_())))],
-            names=["query", "ids", "scores", "done"],
+            out.append((query, near[top], score[top], done[top], np.concatenate([seen[seen_ends[i] : seen_ends[i + 1]], new])))
+        columns = list(zip(*out)) or [()] * 5
+        kinds = pa.int64(), pa.float32(), pa.bool_(), pa.int64()
+        return pa.table([pa.array(columns[0], pa.int64()), *(_ragged(list(c), k) for c, k in zip(columns[1:], kinds))], names=["query", "ids", "scores", "done", "seen"])
+
+    ended = []
+    while True:
+        left = F.exists("done", lambda x: ~x)
+        ended.append(state.where(~left).select("query", "ids"))
+        state = state.where(left)
+        if state.isEmpty():
+            break
+        front = F.slice(F.filter(F.arrays_zip("ids", "done"), lambda x: ~x["done"]), 1, EXPAND)["ids"]
+        state = state.withColumn("front", front)
+        reached = state.select("query", F.explode("front").alias("id")).join(links, "id").groupBy("query").agg(F.array_distinct(F.flatten(F.collect_list("links"))).alias("links"))
+        pools = keep(
+            state.join(reached, "query", "left").select(
+                _part("query", parts).alias("part"),
+                "query",
+                "ids",
+                "scores",
+                F.transform(F.arrays_zip("ids", "done"), lambda x: x["done"] | F.array_contains("front", x["ids"])).alias("done"),
+                "seen",
+                F.array_except(F.coalesce("links", nothing), "seen").alias("more"),
+            )
         )
+        wanted = pools.select("part", F.explode(F.concat("more", F.array("query"))).alias("id")).distinct()
+        messages = _message(pools, part="part", kind=F.lit(0), a="query", ids="ids", flags="done", scores="scores", more="more", seen="seen")
+        state = keep(messages.unionAll(_vectors_of(wanted, nodes)).groupBy("part").applyInArrow(step, _STATE))
+    found = ended[0]
+    for more in ended[1:]:
+        found = found.unionAll(more)
+    return found
 
-    for _ in range(ROUNDS):
-        open_ = F.filter(F.arrays_zip("ids", "done"), lambda x: ~x["done"])
-        front = state.select("part", "query", F.explode(F.slice(open_, 1, EXPAND)).alias("x")).select("part", "query", F.col("x.ids").alias("id"))
-        asked = keep(front.join(links, "id"))
-        wanted = (
-            asked.select("part", F.explode("links").alias("id"))
-            .unionAll(state.select("part", F.explode("ids").alias("id")))
-            .unionAll(state.select("part", F.col("query").alias("id")))
-            .distinct()
-        )
-        messages = (
-            _message(state, part="part", kind=F.lit(0), a="query", ids="ids", flags="done")
-            .unionAll(_message(asked, part="part", kind=F.lit(1), a="query", b="id", ids="links"))
-            .unionAll(_vectors_of(wanted, nodes))
-        )
-        found = messages.groupBy("part").applyInArrow(step, "query bigint, ids array<bigint>, scores array<double>, done array<boolean>")
-        state = keep(found.select(_part("query", parts).alias("part"), "query", "ids", "scores", "done"))
-    return state.select("query", "ids", "scores")
+
+def _exact(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``(query, node, score)`` of the pairs ``(query, node)``, in double precision on the vectors of ``nodes``."""
+
+    def score(batches):
+        for batch in batches:
+            left, right = (_matrix(batch.column(c), np.float64) for c in ("left", "right"))
+            yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("node"), pa.array((left * right).sum(axis=1))], ["query", "node", "score"])
+
+    of = lambda name, vec: nodes.select(F.col("id").alias(name), F.col("vec").alias(vec))
+    both = pairs.join(of("node", "right"), "node").join(of("query", "left"), "query")
+    return both.select("query", "node", "left", "right").mapInArrow(score, "query bigint, node bigint, score double")
 
 
 def nearest(vectors: DataFrame, id_column: str, vector_column: str, is_query: Column, k: int = 20) -> DataFrame:
@@ -358,14 +398,14 @@ def nearest(vectors: DataFrame, id_column: str, vector_column: str, is_query: Co
     nodes = keep(rows.groupBy("vec").agg(F.min("id").alias("id")))
     members = keep(rows.join(nodes.select("vec", F.col("id").alias("node")), "vec").select("node", "id"))
     queries = members.where(is_query)
-    pools = search_graph(keep(build_graph(nodes)), nodes, queries.select(F.col("node").alias("id")).distinct())
+    small = keep(light(nodes))
+    pools = search_graph(build_graph(small), small, queries.select(F.col("node").alias("id")).distinct())
     # Of equal vectors only the k + 1 smallest ids can be in a result.
     few = members
     for group in (["node", F.pmod(F.xxhash64("id"), F.lit(_SALTS))], ["node"]):
         rank = F.row_number().over(Window.partitionBy(*group).orderBy("id"))
         few = few.withColumn("rank", rank).where(F.col("rank") <= k + 1).drop("rank")
-    found = pools.select("query", F.explode(F.slice(F.arrays_zip("ids", "scores"), 1, k + 1)).alias("x"))
-    found = found.select("query", F.col("x.ids").alias("node"), F.col("x.scores").alias("score"))
+    found = _exact(pools.select("query", F.explode("ids").alias("node")), nodes)
     # Queries with equal vectors share a pool, and each leaves itself out.
     ranked = found.join(few, "node").select("query", "id", "score")
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))
