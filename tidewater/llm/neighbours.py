@@ -42,7 +42,7 @@ NEIGHBOURS, REVERSE = 50, 30
 # Vectors of a starting block, and different sets of planes.
 BLOCK, STARTS = 256, 8
 # Nodes that meet in a part, nodes whose lists are merged in one, and queries of one.
-PART, MERGE_PART, QUERY_PART = 64, 4096, 8
+PART, MERGE_PART, QUERY_PART = 64, 1024, 8
 # Share of new list entries below which the descent ends.
 SETTLED = 0.02
 # Pool of a query, and nodes it expands in a round.
