@@ -13,7 +13,7 @@ from tidewater import schemas
 from tidewater.functions.clock import epoch_seconds
 from tidewater.operators import trademark, wide
 from tidewater.operators.skew import HotKeys
-from tidewater.plans import queries, reports, stored
+from tidewater.plans import batches, queries, reports, stored
 from tidewater.operators import search, skew
 from tidewater.sinks import pages, parts, tables
 from tidewater.sinks.parts import PartTable
@@ -182,6 +182,49 @@ def test_sums_of_an_order_expire(spark, folder):
     assert kept == [(5000, 1)]
 
 
+def test_batches_of_one_fact_are_not_dealt_by_order_again(spark, monkeypatch):
+    """Rows lie in buckets of their order, so that windows and sums of a batch shuffle none of them."""
+    plans, allocate = [], state.allocate_batch
+
+    def seen(batch, sums, run, number):
+        found = allocate(batch, sums, run, number)
+        if number == 0:  # nothing is carried yet
+            plans.extend(df._jdf.queryExecution().executedPlan().toString() for df in found)
+        return found
+
+    monkeypatch.setattr(batches, "allocate_batch", seen)
+    tables_before = spark.catalog.listTables()
+    got = queries.queries()["order_split_stored"](spark, SMALL)
+    assert len(plans) == 2 and all("Window" in plans[0] and "Exchange" not in p for p in plans)
+    assert rows(got) == rows(queries.queries()["order_split_partial"](spark, SMALL)) and spark.catalog.listTables() == tables_before
+
+
+def test_upsert_shuffles_stored_rows_once(spark, folder, monkeypatch):
+    """Also with several versions of a key in a batch, and keys stored before and not named again."""
+    t, plans, rewrite = table(folder), [], PartTable.rewrite
+    put(spark, t, 0, [(f"k{i}", "x", i % 7) for i in range(300)])
+    batch = spark.range(900).selectExpr("CONCAT('k', id % 450) AS id", "CONCAT('y', id) AS name", "CAST(id % 5 AS INT) AS at")
+
+    def seen(self, new, run, batch_id, fold, parts=None):
+        def folded(*sides):
+            plans.append(fold(*sides)._jdf.queryExecution().optimizedPlan().toString())
+            return fold(*sides)
+
+        rewrite(self, new, run, batch_id, folded, parts)
+
+    monkeypatch.setattr(PartTable, "rewrite", seen)
+    t.upsert(batch, "r", 1, ["at"], t.parts_of(batch))
+    # Stored rows reach their part by the one exchange below which both sides meet.
+    assert plans[0].index("RepartitionByExpression [bucket") < plans[0].index("Union")
+    want = {f"k{i}": (f"k{i}", "x", i % 7) for i in range(300)}
+    for i in range(900):
+        key, new = f"k{i % 450}", (f"k{i % 450}", f"y{i}", i % 5)
+        old = want.get(key)
+        if old is None or (new[2], new[1]) > (old[2], old[1] if old[1] != "x" else ""):
+            want[key] = new
+    assert rows(t.read(spark)) == sorted(want.values())
+
+
 # --- late rows ---------------------------------------------------------------------
 
 

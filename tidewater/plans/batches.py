@@ -7,15 +7,17 @@ batches, one of them late and one repeated, and is then read as a report reads i
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.operators.skew import HotKeys
 from tidewater.plans import stored
 from tidewater.session import checkpoint_root
 from tidewater.sinks.parts import PartTable
-from tidewater.sinks.tables import write_once
+from tidewater.sinks.tables import CODEC, write_once
 from tidewater.streaming import jobs
 from tidewater.streaming.state import allocate_batch, order_sums_table
 
@@ -37,10 +39,27 @@ def play(batches: Sequence[DataFrame], step: Callable[[DataFrame, int], None], r
 def kept(rows: DataFrame) -> DataFrame:
     """Rows written once, to be read by several batches."""
     folder = new_folder(rows.sparkSession)
-    rows.write.parquet(folder)
+    rows.write.option("compression", CODEC).parquet(folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
+@contextmanager
+def kept_by(rows: DataFrame, key: str) -> Iterator[DataFrame]:
+    """Rows written once in buckets of ``key``, so that windows and sums over the key move none of them.
+
+    Rows that a shuffle on the key gave lie in these buckets already, a bucket in one task. No key may
+    hold a large part of the rows.
+    """
+    spark, name = rows.sparkSession, f"kept_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = rows.write.bucketBy(buckets, key).option("compression", CODEC).option("path", new_folder(spark))
+    writer.saveAsTable(name, format="parquet")
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def new_table(rows: DataFrame, key: str) -> PartTable:
     """``rows``, one a key, in buckets of the key."""
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
@@ -109,17 +128,21 @@ def device_rollup(logs: DataFrame) -> PartTable:
     return table
 
 
-def allocated(wide: DataFrame, turn: Column) -> DataFrame:
-    """Fact rows ``wide``, with ``arrival``, allocated in three batches, ``turn`` 0 to 2; running sums lie in buckets."""
-    spark, wide = wide.sparkSession, kept(wide.withColumn("_turn", turn))
+def allocated(wide: DataFrame, turn: Column, hot: HotKeys | None = None) -> DataFrame:
+    """Fact rows ``wide``, with ``arrival``, allocated in three batches, ``turn`` 0 to 2; running sums lie in buckets.
+
+    Where ``hot`` tells that no order dominates, the rows lie in buckets of the order between the batches.
+    """
+    spark, wide = wide.sparkSession, wide.withColumn("_turn", turn)
     fact, sums = new_folder(spark), order_sums_table(new_folder(spark))
 
     def step(batch: DataFrame, number: int) -> None:
         rows, totals = allocate_batch(batch, sums, RUN, number)
         write_once(rows, fact, number, run=RUN)
-        sums.upsert(totals, RUN, number, ["last_at"])
+        sums.upsert(totals, RUN, number, ["last_at"], sums.parts_of(batch))
 
-    play([wide.where(F.col("_turn") == i).drop("_turn") for i in range(3)], step)
+    with kept_by(wide, "order_id") if hot is not None and not hot else nullcontext(kept(wide)) as stored_rows:
+        play([stored_rows.where(F.col("_turn") == i).drop("_turn") for i in range(3)], step)
     return spark.read.parquet(fact)
 
 

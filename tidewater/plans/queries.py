@@ -388,7 +388,7 @@ def order_split_stored(spark: SparkSession, sf: str) -> DataFrame:
     heads = _partly_stated(spark, sf, lines)
     pairs = wide.join_order_detail(heads, lines, hot, detail_extra=("arrival",))
     fact = wide.to_order_wide(pairs.withColumn("arrival", F.col("arrival").cast("timestamp")), ("arrival",)).drop("_slice", "_slices")
-    return batches.allocated(fact, _turn_of_line()).select(*_SPLIT)
+    return batches.allocated(fact, _turn_of_line(), hot).select(*_SPLIT)
 
 
 def brand_amount_sliding(spark: SparkSession, sf: str) -> DataFrame:

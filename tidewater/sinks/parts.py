@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidewater.sinks.tables import latest_by_key
+from tidewater.sinks.tables import CODEC, latest_by_key
 from tidewater.sources.tables import empty_table
 
 # Generations of a part that stay.
@@ -110,20 +110,31 @@ class PartTable:
         folders = sorted(s.folder for s in newest.values())
         return spark.read.schema(schema).option("basePath", self.root).parquet(*folders).select(*names)
 
-    def rewrite(self, rows: DataFrame, run: str, batch_id: int, fold: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
-        """Write the parts of a batch anew: ``fold`` makes their rows of those stored and those of the batch."""
+    def rewrite(
+        self,
+        rows: DataFrame,
+        run: str,
+        batch_id: int,
+        fold: Callable[[DataFrame, DataFrame], DataFrame],
+        parts: Sequence[str] | None = None,
+    ) -> None:
+        """Write the parts of a batch anew: ``fold`` makes their rows of those stored and those of the batch.
+
+        ``parts`` names the parts of the batch's keys where that is known, so that the batch runs once.
+        """
         spark = rows.sparkSession
         rows = rows.select(*StructType.fromDDL(self.ddl).names)
         listing = self.listing(spark)
         generation = self.generation_of(listing, run, batch_id)
-        parts = self.parts_of(rows)
+        parts = self.parts_of(rows) if parts is None else parts
         if not parts:
             return
         folded = fold(self._rows(spark, listing, parts, generation), rows)
         # One task and file a part, so that a part is there as a whole or not at all.
         folder = f"{self.root}/generation={generation}/run={run}/batch={batch_id}"
-        whole = self.with_part(folded).repartition(self.column).sortWithinPartitions(self.column, *self.keys)
-        whole.write.mode("overwrite").partitionBy(self.column).parquet(folder)
+        whole = folded if self.column in folded.columns and not self.by else self.with_part(folded).repartition(self.column)
+        whole = whole.sortWithinPartitions(self.column, *self.keys)
+        whole.write.mode("overwrite").option("compression", CODEC).partitionBy(self.column).parquet(folder)
         self._remove_superseded(spark, self.listing(spark), generation)
 
     def _remove_superseded(self, spark: SparkSession, listing: list[Stored], generation: int) -> None:
@@ -138,14 +149,19 @@ class PartTable:
             whole = s.folder.rsplit("/", 3)[0]
             _delete(spark, s.folder if whole in used else whole)
 
-    def upsert(self, rows: DataFrame, run: str, batch_id: int, order_by: Sequence[str]) -> None:
+    def upsert(
+        self, rows: DataFrame, run: str, batch_id: int, order_by: Sequence[str], parts: Sequence[str] | None = None
+    ) -> None:
         """Keep the latest row a key by ``order_by``; of equal ones the batch's."""
 
         def latest(stored: DataFrame, new: DataFrame) -> DataFrame:
+            """The batch's versions of a key become one by the key; that and the stored one meet in their part."""
+            new = latest_by_key(new, self.keys, order_by)
             both = stored.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
-            return latest_by_key(both, self.keys, [*order_by, "_new"]).drop("_new")
+            dealt = self.with_part(both).repartition(self.column)
+            return latest_by_key(dealt, (self.column, *(k for k in self.keys if k != self.column)), [*order_by, "_new"]).drop("_new")
 
-        self.rewrite(rows, run, batch_id, latest)
+        self.rewrite(rows, run, batch_id, latest, parts)
 
     def add(self, rows: DataFrame, run: str, batch_id: int) -> None:
         """Add the other columns of rows up by key."""

@@ -19,6 +19,8 @@ from tidewater.sources.tables import read_table
 BATCH = "batch_id"
 RUN = "run"
 COMPACT = "compact"
+# Of Parquet files that are stored: a quarter to a third smaller than Spark's default.
+CODEC = "zstd"
 
 
 def run_of(batch: DataFrame) -> str:
@@ -42,7 +44,7 @@ def write_once(
 ) -> None:
     """Write one batch, of a run if named, so that writing it again changes nothing."""
     path = path if run is None else f"{path}/{RUN}={run}"
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").option("compression", CODEC)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{path}/{BATCH}={batch_id}")

@@ -66,9 +66,11 @@ def allocate_batch(
     since = (first or dt.datetime.fromtimestamp(0)) - dt.timedelta(seconds=ttl_seconds)
     known = sums.read(spark, sums.parts_of(batch), (run, batch_id)).where(F.col("last_at") >= F.lit(since))
     allocated = allocate_amount(batch, hot, carried=known)
-    added = order_sums(batch, F.max("arrival").alias("last_at")).unionByName(known.join(batch.select("order_id"), "order_id", "left_semi"))
-    totals = added.groupBy("order_id").agg(
-        *[F.sum(c).alias(c) for c in ("amounts", "shares", "lines")], F.max("last_at").alias("last_at")
+    # Both sides have one row an order, so they meet by a join that leaves the batch's sums where they are.
+    added = order_sums(batch, F.max("arrival").alias("last_at")).alias("a").join(known.alias("k"), "order_id", "left")
+    plus = lambda c: F.coalesce(F.col(f"a.{c}") + F.col(f"k.{c}"), f"a.{c}", f"k.{c}").alias(c)
+    totals = added.select(
+        "order_id", *[plus(c) for c in ("amounts", "shares", "lines")], F.greatest("a.last_at", "k.last_at").alias("last_at")
     )
     return allocated, totals
 
