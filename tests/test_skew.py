@@ -121,3 +121,35 @@ def test_sketch_and_exact_counts_find_the_same_keys(spark, monkeypatch):
 def test_a_table_smaller_than_a_slice_is_only_counted(spark, monkeypatch):
     monkeypatch.setattr(skew.F, "call_function", None)
     assert not hot_keys(spark.range(100).selectExpr("1L AS k"), "k", 100)
+
+
+def test_hot_orders_meet_in_ranges_that_the_allocation_goes_on_with(spark, tables):
+    """Slices follow the line ids, also uneven ones, are about equal, and no line is dealt a second time."""
+    heads, lines = tables
+    lines = lines.withColumn("id", F.when(F.col("id") % 3 == 0, F.col("id") * 10**12).otherwise(F.col("id")))
+    hot = hot_keys(lines, "order_id", slice_rows=100)
+    joined = wide.join_order_detail(heads, lines, hot)
+    found = joined.groupBy("order_id", SLICE).agg(F.min("order_detail_id").alias("a"), F.max("order_detail_id").alias("z"), F.count("*").alias("n"))
+    slices = [tuple(r) for r in found.where("order_id = 7").orderBy(SLICE).select("a", "z", "n").collect()]
+    assert len(slices) == 10 and max(n for _, _, n in slices) < 200 and sum(n for _, _, n in slices) == N // 3
+    assert all(below[1] < above[0] for below, above in zip(slices, slices[1:]))
+    assert found.where(f"order_id <> 7 AND {SLICE} > 0").count() == 0
+    split = wide.allocate_amount(wide.to_order_wide(joined), hot)
+    key = ("order_id", "order_detail_id", "final_detail_amount")
+    none = HotKeys("order_id")
+    assert rows(split, *key) == rows(wide.allocate_amount(wide.to_order_wide(wide.join_order_detail(heads, lines, none)), none), *key)
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile" not in plan and "Union" not in plan
+
+
+def test_ranges_of_few_and_equal_ids(spark):
+    """Keys with fewer different ids than slices have fewer ranges; null ids come first; other keys stay whole."""
+    data = [(1, i) for i in range(5)] + [(2, 3)] * 5 + [(3, None)] * 6 + [(4, 1), (4, 2)] + [(None, 7)] * 9 + [(5, None), *[(5, i) for i in range(8)]]
+    df = spark.createDataFrame(data, "k long, id long")
+    hot = hot_keys(df, "k", slice_rows=2)
+    dealt = skew.deal_ranges(df, skew.ranges(df, hot, "id"), "id")
+    got = dealt.groupBy("k", SLICE).agg(F.count("*"), F.max(skew.SLICES)).orderBy("k", SLICE).collect()
+    assert [tuple(r) for r in got] == [
+        (None, 0, 9, 1), (1, 0, 1, 3), (1, 1, 2, 3), (1, 2, 2, 3), (2, 0, 5, 1), (3, 0, 6, 1), (4, 0, 2, 1),
+        (5, 0, 2, 5), (5, 1, 2, 5), (5, 2, 1, 5), (5, 3, 2, 5), (5, 4, 2, 5),
+    ]

@@ -21,14 +21,16 @@ SLICE_ROWS = 1_000_000
 
 SLICE = "_slice"
 SLICES = "_slices"
+BOUNDS = "_bounds"
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Dominant keys of a table and the number of slices each is dealt into; no table if there are none."""
+    """Dominant keys of a table and the number of slices, of ``rows`` rows, each is dealt into; no table if there are none."""
 
     key: str
     table: DataFrame | None = None
+    rows: int = SLICE_ROWS
 
     def __bool__(self) -> bool:
         return self.table is not None
@@ -57,7 +59,7 @@ def hot_keys(df: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> HotKeys:
         keys = keys.join(F.broadcast(found), key, "left_semi")
     counts = keys.groupBy(key).agg(F.count("*").alias("_rows")).where(F.col("_rows") > slice_rows)
     table = counts.select(key, F.ceil(F.col("_rows") / slice_rows).cast("int").alias(SLICES)).persist()
-    return HotKeys(key, None if table.isEmpty() else table)
+    return HotKeys(key, None if table.isEmpty() else table, slice_rows)
 
 
 def deal(df: DataFrame, hot: HotKeys, by: Sequence[str]) -> DataFrame:
@@ -70,11 +72,41 @@ def deal(df: DataFrame, hot: HotKeys, by: Sequence[str]) -> DataFrame:
     )
 
 
+# Rows of a slice that the bounds of ranges are taken from.
+SAMPLED = 64
+
+
+def ranges(df: DataFrame, hot: HotKeys, by: str) -> HotKeys:
+    """``hot`` with the values ``_bounds`` of ``by`` that cut each key's rows into ranges of about a slice, in ascending order.
+
+    The bounds are quantiles of a sample, which a hash of ``by`` picks, so they are the same each time.
+    """
+    picked = F.pmod(F.xxhash64(by), F.lit(max(1, hot.rows // SAMPLED))) == 0
+    sample = df.select(hot.key, by).where(picked).groupBy(hot.key).agg(F.sort_array(F.collect_set(by)).alias("_sample"))
+    upto = lambda i: F.floor(i * F.size("_sample") / F.col(SLICES)).cast("int")
+    cuts = F.transform(F.sequence(F.lit(1), F.col(SLICES) - 1), lambda i: F.get(F.col("_sample"), upto(i) - 1))
+    bounds = F.array_distinct(F.array_compact(cuts)).alias(BOUNDS)
+    cut = hot.table.join(sample, hot.key).select(hot.key, bounds)
+    # Both sides of a join, in each of its uses, take the same few columns of the hot keys.
+    return HotKeys(hot.key, cut.withColumn(SLICES, F.size(BOUNDS) + 1).persist(), hot.rows)
+
+
+def deal_ranges(df: DataFrame, cut: HotKeys, by: str) -> DataFrame:
+    """Add ``_slices`` and ``_slice``; rows of a key with :func:`ranges` are dealt in the order of ``by``, nulls first."""
+    below = F.size(F.filter(BOUNDS, lambda b: b < F.col(by)))
+    return (
+        df.join(cut.table, cut.key, "left")
+        .withColumn(SLICES, F.coalesce(SLICES, F.lit(1)))
+        .withColumn(SLICE, F.when(F.col(SLICES) > 1, below).otherwise(0))
+        .drop(BOUNDS)
+    )
+
+
 def repeat(df: DataFrame, hot: HotKeys) -> DataFrame:
     """Repeat a row of a hot key once per slice, numbered in ``_slice``."""
     last = F.coalesce(F.col(SLICES), F.lit(1)) - 1
     return (
-        df.join(hot.table, hot.key, "left")
+        df.join(hot.table.select(hot.key, SLICES), hot.key, "left")
         .withColumn(SLICE, F.explode(F.sequence(F.lit(0), last)))
         .withColumn(SLICES, last + 1)
     )

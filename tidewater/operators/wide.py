@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 from tidewater import schemas
 from tidewater.functions.clock import epoch_seconds
 from tidewater.functions.money import cents, money, proportional_cents
-from tidewater.operators.skew import SLICE, SLICES, HotKeys, deal, hot_keys, repeat
+from tidewater.operators.skew import SLICE, SLICES, HotKeys, deal, deal_ranges, hot_keys, ranges, repeat
 
 # Join window, slide and state lifetime in seconds.
 WINDOW_SECONDS = 15
@@ -59,23 +59,28 @@ def join_order_detail(
     hot: HotKeys | None = None,
     order_extra: tuple[str, ...] = (),
     detail_extra: tuple[str, ...] = (),
+    copies: bool = False,
 ) -> DataFrame:
     """Inner join of orders and lines on the order id, columns named as in the fact.
 
     Sides may leave out attributes nobody asks for; the fact then lacks them.
-    Lines of an order that dominates the table are dealt into slices, whose
-    columns stay on the result for :func:`allocate_amount`. Give ``hot`` when
-    the lines' order ids can be had from a cheaper scan.
+    Lines of an order that dominates the table are dealt into slices by ranges of
+    line ids, whose columns stay on the result for :func:`allocate_amount`. With
+    ``copies``, where a line may come very often, they are dealt by a hash of all
+    that tells copies apart, for :func:`dedup_join`. Give ``hot`` when the lines'
+    order ids can be had from a cheaper scan.
     """
     lines = _renamed(details, {"order_id": "order_id", **DETAIL_COLUMNS}, detail_extra)
     heads = _renamed(orders, ORDER_COLUMNS, order_extra)
     hot = hot_keys(lines, "order_id") if hot is None else hot
     if not hot:
         return heads.join(lines, "order_id")
-    # Equal slice counts on both sides let a filter on them reach both scans.
-    return repeat(heads, hot).join(
-        deal(lines, hot, ["order_detail_id", *detail_extra]), ["order_id", SLICE, SLICES]
-    )
+    if copies:
+        dealt = deal(lines, hot, ["order_detail_id", *detail_extra])
+    else:
+        hot = ranges(lines, hot, "order_detail_id")
+        dealt = deal_ranges(lines, hot, "order_detail_id")
+    return repeat(heads, hot).join(dealt, ["order_id", SLICE, SLICES])
 
 
 def to_order_wide(joined: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -114,22 +119,19 @@ def allocate_amount(wide: DataFrame, hot: HotKeys | None = None, carried: DataFr
     amount never meets the total have no such line.
 
     The sums run as a window over the partitioning of the join. Lines of an
-    order that dominates are dealt anew, by ranges of line ids, and each range
+    order that dominates lie in slices that are ranges of line ids, as
+    :func:`join_order_detail` deals them, or are dealt so here, and each range
     starts from the totals of those before it. ``carried`` holds the
     :func:`order_sums` of lines allocated earlier, on which all these go on.
     """
     if hot is None and SLICE not in wide.columns:
         hot = hot_keys(wide, "order_id")
     if hot and SLICE not in wide.columns:
-        wide = deal(wide, hot, ["order_detail_id"])
+        wide = deal_ranges(wide, ranges(wide, hot, "order_detail_id"), "order_detail_id")
     out = [c for c in wide.columns if c not in (SLICE, SLICES)]
     paid, original = cents(F.col("final_total_amount")), cents(F.col("original_total_amount"))
     rows = _line_shares(wide)
-    if SLICE in wide.columns:
-        summed = _running(rows.where(F.col(SLICES) == 1), ["order_id", SLICE, SLICES]).drop(SLICE, SLICES)
-        summed = summed.unionByName(_running_by_range(rows.where(F.col(SLICES) > 1).drop(SLICE, SLICES)))
-    else:
-        summed = _running(rows, ["order_id"])
+    summed = _running_by_range(rows) if SLICE in wide.columns else _running(rows, ["order_id"])
     if carried is not None:
         earlier = carried.select("order_id", *[F.col(f"{c[1:]}s").alias(f"{c}_earlier") for c in _RUNNING])
         summed = summed.join(earlier, "order_id", "left")
@@ -141,8 +143,6 @@ def allocate_amount(wide: DataFrame, hot: HotKeys | None = None, carried: DataFr
 
 
 _RUNNING = ("_amount", "_share", "_line")
-# Ranges of line ids that a dominant order is dealt into.
-_RANGES = 256
 
 
 def _running(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -152,19 +152,17 @@ def _running(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _running_by_range(rows: DataFrame) -> DataFrame:
-    """The same for orders of very many lines: within ranges, then on top of the ranges before."""
-    fractions = F.array(*[F.lit(i / _RANGES) for i in range(1, _RANGES)])
-    bounds = rows.groupBy("order_id").agg(F.percentile_approx("order_detail_id", fractions).alias("_bounds"))
-    below = F.size(F.filter("_bounds", lambda b: b < F.col("order_detail_id")))
-    ranged = rows.join(bounds, "order_id").withColumn("_range", below).drop("_bounds")
-    totals = ranged.groupBy("order_id", "_range").agg(*[F.sum(c).alias(f"{c}_total") for c in _RUNNING])
-    before = Window.partitionBy("order_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(
-        "order_id", "_range", *[F.coalesce(F.sum(f"{c}_total").over(before), F.lit(0)).alias(f"{c}_before") for c in _RUNNING]
-    )
-    summed = _running(ranged, ["order_id", "_range"]).join(totals, ["order_id", "_range"])
-    whole = {f"{c}_so_far": F.col(f"{c}_so_far") + F.col(f"{c}_before") for c in _RUNNING}
-    return summed.withColumns(whole).drop("_range", *[f"{c}_before" for c in _RUNNING])
+    """The same over slices that are ranges of line ids: within ranges, then on top of the ranges before.
+
+    Other orders are one range, on top of nothing; only the totals of dominant ones are taken.
+    """
+    key = ["order_id", SLICE, SLICES]
+    totals = rows.where(F.col(SLICES) > 1).groupBy(*key).agg(*[F.sum(c).alias(f"{c}_total") for c in _RUNNING])
+    before = Window.partitionBy("order_id").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = totals.select(*key, *[F.sum(f"{c}_total").over(before).alias(f"{c}_before") for c in _RUNNING])
+    summed = _running(rows, key).join(earlier.where("_line_before > 0"), key, "left")
+    whole = {f"{c}_so_far": F.col(f"{c}_so_far") + F.coalesce(f"{c}_before", F.lit(0)) for c in _RUNNING}
+    return summed.withColumns(whole).drop(SLICE, SLICES, *[f"{c}_before" for c in _RUNNING])
 
 
 def dedup_join(joined: DataFrame, arrival: str) -> DataFrame:
@@ -199,7 +197,7 @@ def join_orders_window(orders: DataFrame, details: DataFrame, hot: HotKeys | Non
     reach = WINDOW_SECONDS // SLIDE_SECONDS - 1
     heads = orders.withColumn("_order_batch", _batch_number("arrival"))
     lines = details.withColumn("_detail_batch", _batch_number("arrival")).withColumnRenamed("arrival", "_arrival")
-    joined = join_order_detail(heads, lines, hot, ("_order_batch",), ("_detail_batch", "_arrival"))
+    joined = join_order_detail(heads, lines, hot, ("_order_batch",), ("_detail_batch", "_arrival"), copies=True)
     met = joined.where(F.abs(F.col("_order_batch") - F.col("_detail_batch")) <= reach)
     return to_order_wide(dedup_join(met, "_arrival"))
 
@@ -210,6 +208,6 @@ def join_orders_cache(
     """Pairs that arrive less than ``ttl_seconds`` apart, whichever side is first, each line once."""
     heads = orders.withColumn("_order_at", epoch_seconds(F.col("arrival")))
     lines = details.withColumn("_detail_at", epoch_seconds(F.col("arrival")))
-    joined = join_order_detail(heads, lines, hot, ("_order_at",), ("_detail_at",))
+    joined = join_order_detail(heads, lines, hot, ("_order_at",), ("_detail_at",), copies=True)
     met = joined.where(F.abs(F.col("_order_at") - F.col("_detail_at")) < ttl_seconds)
     return to_order_wide(dedup_join(met, "_detail_at"))
