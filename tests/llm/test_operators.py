@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -178,6 +179,31 @@ def test_tokens_equal_the_tokenizer():
     assert tokens.of(texts) == want
 
 
+def test_tokens_encode_every_word_once_whatever_stands_around_it(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, tokens = Tokenizer.from_file(path), packing.Tokens(path)
+    texts = [f"Été, ({w})-{i}! it's {w}***{i * 37}.{w}\t" for i, w in enumerate(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600))]
+    texts += ["", None, "x \u0301 H\u0331 'S ,'s <|ENDOFTEXT|>a<|endoftext|>, it'sa1e\u0301.É,×é", " ".join(["a1, bé."] * 90)]
+    want = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    asked = []
+
+    class Whole:
+        def encode_batch(self, chunks, **options):
+            asked.extend(chunks)
+            return tokenizer.encode_batch(chunks, **options)
+
+    tokens._tokenizer = Whole()
+    assert tokens.of(texts) == want
+    assert len(asked) < 40
+    # Steps that end within texts, slices of Arrow columns and turns of the memory change nothing.
+    monkeypatch.setattr(packing, "STEP_BYTES", 64)
+    monkeypatch.setattr(packing, "KNOWN_CHUNKS", 20)
+    assert packing.Tokens(path).of(pa.array(["b", *texts, "b"]).slice(1, len(texts))) == want
+
+
 def test_nearest_neighbours_reach_recall(spark):
     rng = np.random.default_rng(0)
     base = rng.normal(size=(2500, 24))

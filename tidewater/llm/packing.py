@@ -23,28 +23,48 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidewater.llm.tables import keep
-from tidewater.llm.text import small_batches
 
 WINDOW = 2048
 END = 1
 # Groups that the pieces of one length are numbered in side by side.
 SALTS = 256
-# Chunks a worker process remembers before it starts afresh; bounds memory, never results.
+# Chunks a worker process remembers, half of them from its last turn; bounds memory, never results.
 KNOWN_CHUNKS = 300_000
-# Latin letters with the marks after them: the tokenizer parts the two and lower-cases letters.
-_PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([.,;:!?]*)")
+# Text of one step of a task, in bytes; bounds memory, never results.
+STEP_BYTES = 4 << 20
+_SPACE = re.compile(rb"[\t-\r ]")
+# Small Latin letters: nothing but merges applies to a word of them.
+_PLAIN = re.compile(r"[a-zß-öø-ÿ]+")
 
 
 # Byte values as the tokenizer's vocabulary writes them: printable ones as they are, the rest from 256 on.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _REST = [b for b in range(256) if b not in _PRINTABLE]
-_BYTES = {b: chr(256 + i) for i, b in enumerate(_REST)}
+_BYTES = {b: chr(256 + i) for i, b in enumerate(_REST) if b != ord(" ")}
+
+# Kinds of bytes. Others are those of signs beyond ASCII, control signs, and | for its part in control tokens.
+_BLANK, _LETTER, _DIGIT, _SIGN, _APOSTROPHE, _OTHER = range(6)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[33:127] = _SIGN
+_KIND[48:58] = _DIGIT
+_KIND[[*range(65, 91), *range(97, 123)]] = _LETTER
+_KIND[ord("'")], _KIND[ord("|")] = _APOSTROPHE, _OTHER
+_KIND[[*range(9, 14), 32]] = _BLANK
+# Whether a byte of the second kind starts a chunk after one of the first, at 8 * first + second.
+_STARTS = np.zeros((8, 8), bool)
+_STARTS[_BLANK, 1:] = True
+_STARTS[_LETTER, [_DIGIT, _SIGN, _APOSTROPHE]] = True
+_STARTS[_DIGIT, [_LETTER, _DIGIT, _SIGN, _APOSTROPHE]] = True
+_STARTS[_SIGN, [_LETTER, _DIGIT]] = True
+_STARTS[_APOSTROPHE, _DIGIT] = True
+_STARTS = _STARTS.ravel()
 _TOKENS: dict[str, Tokens] = {}
 
 
@@ -57,21 +77,69 @@ def _fold(text: str) -> str:
     return text if "<|" in text else text.lower()
 
 
+def _fold_bytes(data: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """``_fold`` of what lies between ``heads`` in ``data``, as UTF-8."""
+    lower = np.frombuffer(data.tobytes().lower(), np.uint8).copy()
+    after = np.flatnonzero(data[:-1] == 0xC3) + 1
+    after = after[(data[after] <= 0x9E) & (data[after] != 0x97)]
+    lower[after] += 0x20
+    # From C4 on bytes lead signs beyond Latin-1.
+    odd = data >= 0xC4
+    odd[:-1] |= (data[:-1] == ord("<")) & (data[1:] == ord("|"))
+    ends = np.concatenate([[0], heads, [len(data)]])
+    for text in np.unique(np.searchsorted(ends, np.flatnonzero(odd), "right") - 1).tolist():
+        lower[ends[text] : ends[text + 1]] = data[ends[text] : ends[text + 1]]
+    return lower
+
+
+def _chunks(data: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """The chunks of ``data`` in order, as numbers; how many come before each of ``heads``; the chunk of each number.
+
+    Chunks are parted by heads, by white space and, between two signs of ASCII, wherever the
+    tokenizer parts a text for certain: around digits, and between letters and other signs.
+    A letter stays with an apostrophe before it, and control tokens stay whole.
+    """
+    kind = np.frombuffer(data.tobytes().translate(_KIND.tobytes()), np.uint8).copy()
+    after = np.flatnonzero(data[:-1] == 0xC3) + 1
+    kind[after[(data[after] != 0x97) & (data[after] != 0xB7)]] = _LETTER
+    shown = kind != _BLANK
+    first = shown.copy()
+    first[1:] = _STARTS[(kind[:-1] << 3) + kind[1:]]
+    first[heads] = shown[heads]
+    body = _fold_bytes(data, heads)[shown]
+    starts = np.append(np.flatnonzero(first[shown]), len(body))
+    chunks = pa.Array.from_buffers(pa.large_string(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(body)])
+    coded = chunks.dictionary_encode()
+    before = np.searchsorted(np.flatnonzero(first), heads)
+    # Chunks hold no white space; one split is faster than single values.
+    _, offsets, signs = coded.dictionary.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[: len(coded.dictionary) + 1]
+    joined = np.insert(np.frombuffer(signs or b"", np.uint8)[: offsets[-1]], offsets[1:-1], ord(" ")).tobytes().decode()
+    return coded.indices.to_numpy(), before, joined.split(" ") if joined else []
+
+
 class Tokens:
-    """Token ids of texts as bytes; equal chunks between blanks are encoded once.
+    """Token ids of texts as bytes; equal chunks are encoded once.
 
-    The tokenizer never lets a token cross white space, so a text's ids are those of its
-    chunks in order. A chunk that is one plain word, with marks at its end, takes the
-    vocabulary's merges alone; anything else goes through the whole tokenizer.
+    The tokenizer never lets a token cross the ends of chunks, so a text's ids are those of
+    its chunks in order. A chunk that is one plain word takes the vocabulary's merges alone;
+    anything else goes through the whole tokenizer. All this holds for tokenizers that part
+    and lower-case like ``word_bpe_49k.json`` and mark the ends of words.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._model = self._tokenizer.model
-        self._known: dict[str, bytes] = {"": b""}
+        self._plain = Tokenizer(self._tokenizer.model)
+        self._plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        mark = self._tokenizer.model.end_of_word_suffix
+        vocabulary = self._tokenizer.get_vocab()
+        self._last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._last[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
+        self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     @staticmethod
     def shared(path: str) -> Tokens:
@@ -80,30 +148,68 @@ class Tokens:
             _TOKENS[path] = Tokens(path)
         return _TOKENS[path]
 
-    def _merge(self, word: str) -> bytes:
-        form = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTES)
-        found = self._known[word] = array("I", [t.id for t in self._model.tokenize(form)]).tobytes()
-        return found
-
-    def _learn(self, chunks: set[str]) -> None:
-        if len(self._known) > KNOWN_CHUNKS:
-            self._known = {"": b""}
-        known, other = self._known, []
-        for chunk in chunks - known.keys():
-            if m := _PLAIN.fullmatch(chunk):
-                word, marks = m.groups()
-                ids = known.get(word) or self._merge(word)
-                if marks:
-                    known[chunk] = ids + (known.get(marks) or self._merge(marks))
+    def _merges(self, words: list[str]) -> list[bytes]:
+        """Ids of plain words. No other token than a word's last ends in the vocabulary's end mark."""
+        groups = [" ".join(words[i : i + 64]).lower() for i in range(0, len(words), 64)]
+        groups = [g if g.isascii() else g.encode().decode("latin-1").translate(_BYTES) for g in groups]
+        ids = array("I")
+        for found in self._plain.encode_batch_fast(groups, add_special_tokens=False):
+            ids.extend(found.ids)
+        raw = ids.tobytes()
+        ends = (4 * np.flatnonzero(self._last[np.frombuffer(raw, "<u4")]) + 4).tolist()
+        return [raw[start:end] for start, end in zip([0, *ends], ends)]
+
+    def _ids(self, chunks: list[str]) -> list[bytes]:
+        # What was not met since the last turn is forgotten; frequent chunks stay.
+        if len(self._known) > KNOWN_CHUNKS // 2:
+            self._older, self._known = self._known, {}
+        known, older, plain, other = self._known, self._older, [], []
+        for chunk in [c for c in chunks if c not in known]:
+            if (ids := older.get(chunk)) is not None:
+                known[chunk] = ids
+            elif chunk.isascii() and chunk.isalpha() or _PLAIN.fullmatch(_fold(chunk)):
+                plain.append(chunk)
             else:
                 other.append(chunk)
+        known.update(zip(plain, self._merges(plain), strict=True))
         for chunk, found in zip(other, self._tokenizer.encode_batch(other, add_special_tokens=False)):
             known[chunk] = array("I", found.ids).tobytes()
-
-    def of(self, texts: list[str | None]) -> list[bytes]:
-        parts = [_fold(t or "").replace("\n", " ").split(" ") for t in texts]
-        self._learn(set().union(*parts))
-        return [b"".join(map(self._known.__getitem__, p)) for p in parts]
+        return list(map(known.__getitem__, chunks))
+
+    def of(self, texts: list[str | None] | pa.Array) -> list[bytes]:
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        texts = texts.cast(pa.large_binary()).fill_null(b"")
+        _, offsets, data = texts.buffers()
+        ends = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]]
+        ends = ends - ends[0]
+        cuts, parts, start, total = np.zeros(len(ends), np.int64), [], 0, 0
+        while start < len(data):
+            # Up to white space or the end of a text.
+            stop = min(start + STEP_BYTES, len(data))
+            stop = min(m.end() if (m := _SPACE.search(data, stop)) else len(data), int(ends[np.searchsorted(ends, stop)]))
+            heads = slice(*np.searchsorted(ends, [start, stop]))
+            which, before, chunks = _chunks(data[start:stop], ends[heads] - start)
+            found = self._ids(chunks)
+            pool = np.frombuffer(b"".join(found), "<u4")
+            sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            each = sizes[which]
+            at = np.append(0, np.cumsum(each))
+            parts.append(pool[np.repeat((np.cumsum(sizes) - sizes)[which] - at[:-1], each) + np.arange(at[-1])].tobytes())
+            cuts[heads] = total + 4 * at[before]
+            start, total = stop, total + len(parts[-1])
+        cuts[np.searchsorted(ends, start) :] = total
+        ids, cuts = b"".join(parts), cuts.tolist()
+        return [ids[start:end] for start, end in zip(cuts, cuts[1:])]
+
+
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, cut where the texts before a row fill another ``STEP_BYTES``."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column("text")).fill_null(0).to_numpy().astype(np.int64)
+        cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // STEP_BYTES)) + 1
+        for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+            yield batch.slice(start, end - start)
 
 
 def tokenize(docs: DataFrame, path: str | None = None, window: int = WINDOW, with_ids: bool = False) -> DataFrame:
@@ -113,10 +219,10 @@ def tokenize(docs: DataFrame, path: str | None = None, window: int = WINDOW, wit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens.shared(path)
-        for batch in small_batches(batches):
+        for batch in _steps(batches):
             out = [[] for _ in range(5)]
             ids = []
-            for doc, raw in zip(batch.column("doc_id").to_pylist(), tokens.of(batch.column("text").to_pylist())):
+            for doc, raw in zip(batch.column("doc_id").to_pylist(), tokens.of(batch.column("text"))):
                 raw += end
                 total = len(raw) // 4
                 for start in range(0, total, window):
