@@ -239,6 +239,56 @@ def test_nearest_neighbours_of_few_and_none(spark):
     assert neighbours.nearest(spark.createDataFrame([(0, [1.0])], kind), "vec_id", "embedding", F.col("id") == 0).count() == 0
 
 
+def test_nearest_neighbours_move_arrays_between_parts(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    # Clusters, and a component that is large in all vectors and says nothing.
+    base = rng.normal(size=(40, 1, 16)) + 0.4 * rng.normal(size=(40, 75, 16))
+    base = base.reshape(-1, 16)[rng.permutation(3000)]
+    base[:, 3] = 30 + 0.01 * base[:, 3]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(base)], "vec_id bigint, embedding array<double>")
+    monkeypatch.setattr(neighbours, "PART", 100)
+    monkeypatch.setattr(neighbours, "BLOCK", 60)
+    stored, keep = [], neighbours.keep
+
+    def counting(df):
+        stored.append(keep(df))
+        return stored[-1]
+
+    monkeypatch.setattr(neighbours, "keep", counting)
+    runs = [sorted(map(tuple, neighbours.nearest(df, "vec_id", "embedding", F.col("id") % 30 == 0).collect())) for _ in range(2)]
+    assert runs[0] == runs[1]
+    hits = 0
+    for q in range(0, 3000, 30):
+        score = base @ base[q]
+        score[q] = -np.inf
+        hits += len(set(np.argsort(-score)[:20].tolist()) & {r[2] for r in runs[0] if r[0] == q})
+    assert hits >= 0.95 * 100 * 20
+    # A row a vector in four tables only, whatever the number of iterations, starting blocks and rounds.
+    rows = [t.count() for t in stored]
+    assert sum(n >= 3000 for n in rows) == 2 * 4
+
+
+def test_nearest_neighbours_of_wide_vectors_and_repeated_ids(spark):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(300, 200)).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(base[:150])]
+    # Ids with two vectors, rows that occur twice, copies of one vector under other ids.
+    rows += [(i, v.tolist()) for i, v in enumerate(base[150:])] + rows[:20] + [(1000 + i, base[7].tolist()) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = neighbours.nearest(df, "vec_id", "embedding", F.col("id") == 1003).orderBy("rank").collect()
+    assert [(r["rank"], r["vec_id"]) for r in got] == [(i + 1, v) for i, v in enumerate([7, *(i for i in range(1000, 1020) if i != 1003)])]
+    got = neighbours.nearest(df, "vec_id", "embedding", F.col("id") == 11, k=2).collect()
+    pairs = {(r["rank"], r["vec_id"], round(r["score"], 6)) for r in got}
+    want = set()
+    ids = np.arange(300) % 150
+    for v in (11, 161):
+        score = base.astype(float) @ base[v].astype(float)
+        score[ids == 11] = -np.inf
+        want |= {(rank + 1, int(ids[i]), round(float(score[i]), 6)) for rank, i in enumerate(np.argsort(-score)[:2])}
+    print(sorted(pairs), sorted(want))
+    assert pairs == want
+
+
 def test_chat_reads_back_what_it_wrote(spark):
     texts = ["plain", "", None, "</s>[INST] ok [/INST]", "\\", "a\\", "\\</s>", "<\\/s>", "x [/INST]</s><s>[INST:user] y", "[/INST]", "\n", "é漢\U0001f600</s>", "</s>" * 50, " [/INST]"]
     roles = ["user", "assistant", None, "a]b", "%5D<x>", "system\n", "</s>"]
