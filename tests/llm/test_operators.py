@@ -285,7 +285,6 @@ def test_nearest_neighbours_of_wide_vectors_and_repeated_ids(spark):
         score = base.astype(float) @ base[v].astype(float)
         score[ids == 11] = -np.inf
         want |= {(rank + 1, int(ids[i]), round(float(score[i]), 6)) for rank, i in enumerate(np.argsort(-score)[:2])}
-    print(sorted(pairs), sorted(want))
     assert pairs == want
 
 

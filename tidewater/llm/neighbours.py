@@ -52,7 +52,7 @@ NEIGHBOURS, REVERSE = 50, 30
 # Vectors of a starting block, different sets of planes over all nodes, and sets inside each of their cells.
 BLOCK, STARTS, INSIDE = 256, 4, 4
 # Nodes of a part, for up to 64 components, queries of one, and nodes compared at once.
-PART, QUERY_PART, BATCH = 16384, 1024, 64
+PART, QUERY_PART, BATCH = 8192, 1024, 64
 # Share of new list entries below which the descent ends.
 SETTLED = 0.02
 # Pool of a query, and nodes it expands in a round.
@@ -62,7 +62,7 @@ SAMPLED = 64
 # Groups side by side when a hot key's rows are thinned out.
 _SALTS = 16
 # Pairs held before they are thinned, and bytes of a batch sent on.
-_HELD, _BATCH_BYTES = 4_000_000, 16_000_000
+_HELD, _BATCH_BYTES = 2_000_000, 16_000_000
 # Bytes of a row, and bits for its place among those that one part sends another.
 _ROW_BYTES, _CHUNKS = 250_000, 12
 # Bits of the hash that draws a sample, and of a score that order a list.
@@ -131,11 +131,14 @@ def _order(*keys: tuple[np.ndarray, int]) -> np.ndarray:
         return np.lexsort([key for key, _ in reversed(keys)])
     packed = np.zeros(n, np.uint64)
     for key, bits in keys:
-        packed = packed << np.uint64(bits) | key.astype(np.uint64)
-    packed = packed << np.uint64(places) | np.arange(n, dtype=np.uint64)
+        packed <<= np.uint64(bits)
+        packed |= key.astype(np.uint64)
+    packed <<= np.uint64(places)
+    packed |= np.arange(n, dtype=np.uint64)
     # Sorting values is several times as fast as sorting places by them.
     packed.sort()
-    return (packed & np.uint64((1 << places) - 1)).astype(np.int64)
+    packed &= np.uint64((1 << places) - 1)
+    return packed.view(np.int64)
 
 
 def _falling(score: np.ndarray) -> np.ndarray:
@@ -153,7 +156,7 @@ def _draw(source: np.ndarray, node: np.ndarray, turn: int) -> np.ndarray:
 
 
 class _Rows:
-    """The messages of one part: arrays of each kind."""
+    """The messages of one part: arrays of each kind, each read once."""
 
     def __init__(self, batches):
         self.rows = defaultdict(list)
@@ -165,7 +168,7 @@ class _Rows:
 
     def of(self, kind: int, *types) -> list[tuple]:
         """``(origin, arrays)`` of the rows of a kind, in order of origin."""
-        rows = sorted(self.rows.get(kind, []), key=lambda r: r[0])
+        rows = sorted(self.rows.pop(kind, []), key=lambda r: r[0])
         return [(r[0] >> _CHUNKS, *(np.frombuffer(x, t) for x, t in zip(r[1:], types))) for r in rows]
 
     def all(self, kind: int, *types) -> list[np.ndarray]:
@@ -378,19 +381,16 @@ def _start(nodes: Nodes) -> DataFrame:
     """The best neighbours of each node inside a block, for each set of planes."""
     shape = nodes.shape
 
-    def cells(batches):
-        for batch in batches:
-            for part, vectors, scales, index in zip(batch.column("part").to_pylist(), *(batch.column(n) for n in "abc")):
-                short, scales = np.frombuffer(vectors.as_buffer(), np.int16).reshape(-1, shape.width), np.frombuffer(scales.as_buffer(), np.float32)
-                index = np.frombuffer(index.as_buffer(), np.uint32)
-                sided = _sided(short.astype(np.float32))
-                rows = []
-                for seed, middles in enumerate(shape.planes):
-                    cell = _cells(sided, seed, middles)
-                    order = np.argsort(cell, kind="stable")
-                    for c, a, b in _by_part(cell[order], 1):
-                        rows += _rows(c * STARTS + seed, _CELL, index[order[a:b]], short[order[a:b]], scales[order[a:b]], origin=int(index[0]))
-                yield from _batches(rows)
+    def cells(part: int, rows: _Rows):
+        short, scales, index = rows.all(_LIGHT, np.int16, np.float32, np.uint32)
+        short = short.reshape(len(index), shape.width)
+        sided = _sided(short.astype(np.float32))
+        for seed, middles in enumerate(shape.planes):
+            cell = _cells(sided, seed, middles)
+            order = np.argsort(cell, kind="stable")
+            for c, a, b in _by_part(cell[order], 1):
+                some = order[a:b]
+                yield from _rows(c * STARTS + seed, _CELL, index[some], short[some], scales[some], origin=part)
 
     def blocks(cell: int, rows: _Rows):
         index, short, scales = rows.all(_CELL, np.uint32, np.int16, np.float32)
@@ -428,7 +428,7 @@ def _start(nodes: Nodes) -> DataFrame:
         yield from _better(index[source[order]], index[near[order]], score[order], shape.size, cell)
 
     empty = nodes.light().select("part", F.lit(_BETTER).alias("kind"), "origin", *(F.lit(b"").alias(n) for n in "abcd"), F.lit(None).cast("double").alias("x"))
-    return _meet(nodes.light().mapInArrow(cells, _MESSAGE), blocks).unionAll(empty)
+    return _meet(_meet(nodes.light(), cells), blocks).unionAll(empty)
 
 
 def _better(source: np.ndarray, near: np.ndarray, score: np.ndarray, size: int, origin: int) -> Iterator[tuple]:
@@ -446,14 +446,15 @@ def _merge(messages: DataFrame, shape: Shape, turn: int) -> DataFrame:
 
     def best(part: int, rows: _Rows):
         n, begin = shape.of(part), part * shape.size
-        source, near, score = rows.all(_BETTER, np.uint32, np.uint32, np.float32)
-        found = [[source.astype(np.int64) - begin], [near], [score], [np.ones(len(source), bool)]]
+        source, near, score = rows.all(_BETTER, np.uint32, np.int32, np.float32)
+        found = [[(source - np.uint32(begin)).astype(np.int32)], [near], [score], [np.ones(len(source), bool)]]
         near, score = rows.all(_STATE, np.int32, np.float32)
         have = np.flatnonzero(near >= 0)
         # What was there before this iteration has been compared and is not new any more.
-        for x, values in zip(found, (have // NEIGHBOURS, near[have], score[have], np.zeros(len(have), bool))):
+        for x, values in zip(found, ((have // NEIGHBOURS).astype(np.int32), near[have], score[have], np.zeros(len(have), bool))):
             x.insert(0, values)
         source, near, score, fresh = (np.concatenate(x) for x in found)
+        found.clear()
         # Of a pair's rows the first, which is not fresh, wins.
         order = _order((source, own_bits), (near, bits))
         order = order[np.concatenate([[True], (source[order[1:]] != source[order[:-1]]) | (near[order[1:]] != near[order[:-1]])])] if len(order) else order
@@ -639,11 +640,12 @@ def search_graph(graph: DataFrame, nodes: Nodes, asked: DataFrame) -> DataFrame:
             pool, scores = np.full((len(own), POOL), -1, np.int32), np.full((len(own), POOL), -np.inf, np.float32)
             pool[:, 0], scores[:, 0] = index, np.inf
             pool[:, 1 : NEIGHBOURS + 1], scores[:, 1 : NEIGHBOURS + 1] = near[own], score[own]
-            yield from _rows(to, _POOL, index, short[own].astype(np.float32) * scales[own][:, None], pool, scores)
+            # Scores of a query are compared with each other only, so that its scale does not matter.
+            yield from _rows(to, _POOL, index, short[own], pool, scores / scales[own][:, None])
             yield _row(to, _DONE, pool < 0)
 
     def advance(part: int, rows: _Rows):
-        index, vectors, pool, scores = rows.all(_POOL, np.uint32, np.float32, np.int32, np.float32)
+        index, vectors, pool, scores = rows.all(_POOL, np.uint32, np.int16, np.int32, np.float32)
         done, = rows.all(_DONE, bool)
         n, have = len(index), np.flatnonzero(pool >= 0)
         more, query, score = rows.all(_SCORED, np.uint32, np.int32, np.float32)
@@ -674,7 +676,7 @@ def search_graph(graph: DataFrame, nodes: Nodes, asked: DataFrame) -> DataFrame:
             yield from _rows(to, _LINKED, known[node.astype(np.int64) - part * shape.size], query, origin=part)
 
     def choose(part: int, rows: _Rows):
-        index, vectors, pool, scores = rows.all(_POOL, np.uint32, np.float32, np.int32, np.float32)
+        index, vectors, pool, scores = rows.all(_POOL, np.uint32, np.int16, np.int32, np.float32)
         found, query = rows.all(_LINKED, np.int32, np.int32)
         query, have = np.repeat(query, links)[found >= 0], np.flatnonzero(pool >= 0)
         # Each node once, and none that is in the pool: last bit 0.
@@ -693,9 +695,9 @@ def search_graph(graph: DataFrame, nodes: Nodes, asked: DataFrame) -> DataFrame:
     def rate(part: int, rows: _Rows):
         short, scales = rows.all(_LIGHT, np.int16, np.float32)
         known = short.reshape(len(scales), width).astype(np.float32) * scales[:, None]
-        for to, node, place, vectors, numbers in rows.of(_SCORE, np.uint32, np.int32, np.float32, np.int32):
+        for to, node, place, vectors, numbers in rows.of(_SCORE, np.uint32, np.int32, np.int16, np.int32):
             query, least = numbers[: len(numbers) // 2], numbers[len(numbers) // 2 :].view(np.float32)
-            own, vectors = node.astype(np.int64) - part * shape.size, vectors.reshape(len(query), width)
+            own, vectors = node.astype(np.int64) - part * shape.size, vectors.reshape(len(query), width).astype(np.float32)
             score = np.concatenate([np.zeros(0, np.float32)] + [
                 np.einsum("ij,ij->i", known[own[i : i + 4096]], vectors[place[i : i + 4096]]) for i in range(0, len(own), 4096)
             ])
@@ -728,7 +730,7 @@ def _exact(pools: DataFrame, nodes: Nodes, asked: DataFrame, most: int) -> DataF
             yield from _rows(to, _VECTOR, vectors.reshape(-1, shape.width)[index.astype(np.int64) - part * shape.size])
 
     def ask(part: int, rows: _Rows):
-        _, _, pool = rows.all(_POOL, np.uint32, np.float32, np.int32)
+        _, _, pool = rows.all(_POOL, np.uint32, np.int16, np.int32)
         vectors, = rows.all(_VECTOR, kind)
         have = np.flatnonzero(pool >= 0)
         have = have[np.argsort(pool[have], kind="stable")]
